@@ -30,7 +30,7 @@ def _run(part: str) -> str:
     return f"(PARTITION BY {part} ORDER BY {ORD} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
-def _enriched_ctes(as_of: str | None) -> str:
+def _enriched_ctes(as_of: str | None, sfx: str = "") -> str:
     where = f"WHERE order_date < TIMESTAMP '{as_of}-01'" if as_of else ""
     sums = []
     for part, spec in (("customer_id", fe.CUST_SUMS), ("product_prefix", fe.PROD_SUMS),
@@ -39,15 +39,15 @@ def _enriched_ctes(as_of: str | None) -> str:
             sums.append(f"CASE WHEN {src} IS NULL THEN NULL ELSE SUM({src}) OVER {_run(part)} END AS {out}")
     diffs = [f"{src} - LAG({src}) OVER (PARTITION BY customer_id ORDER BY {ORD}) AS {out}"
              for out, src in fe.DIFFS.items()]
-    return f"""base AS (
+    return f"""base{sfx} AS (
   SELECT order_id, product_id, quantity, order_date, price, customer_id, country, total, line_seq,
          substring({_NORM}, 1, 3) AS product_prefix,
          CAST(CASE WHEN product_id = 'POST' THEN GREATEST(total, 0) ELSE 0 END AS DECIMAL(18,2)) AS post,
          CAST({_EU_CASE} AS INTEGER) AS eu,
          CAST(epoch(order_date) AS DOUBLE) AS order_ts
   FROM transactions {where}),
-enriched AS (
-  SELECT *, {", ".join(sums + diffs)} FROM base)"""
+enriched{sfx} AS (
+  SELECT *, {", ".join(sums + diffs)} FROM base{sfx})"""
 
 
 def _stat_sql(c: str, s: str) -> str:
@@ -73,7 +73,7 @@ def _stat_sql(c: str, s: str) -> str:
     raise ValueError(s)
 
 
-def feature_sql(as_of: str, max_rows: int = MAX_ROWS) -> str:
+def feature_sql(as_of: str, max_rows: int = MAX_ROWS, sfx: str = "") -> str:
     """DuckDB CTEs ending in ``feats`` (customer_id + 124 features)."""
     cols = []
     for c, stats in fe.FEATURE_SPEC:
@@ -92,17 +92,17 @@ def feature_sql(as_of: str, max_rows: int = MAX_ROWS) -> str:
             continue
         src = "product_prefix" if c == "product_id" else c
         agg += [f'{_stat_sql(src, s)} AS "{c}-{s}"' for s in stats]
-    return f"""{_enriched_ctes(as_of)},
-codes AS (
+    return f"""{_enriched_ctes(as_of, sfx)},
+codes{sfx} AS (
   SELECT country, ROW_NUMBER() OVER (ORDER BY f, country) - 1 AS country_code
-  FROM (SELECT country, MIN(({ORD})) AS f FROM enriched WHERE country IS NOT NULL GROUP BY country)),
-agg AS (
+  FROM (SELECT country, MIN(({ORD})) AS f FROM enriched{sfx} WHERE country IS NOT NULL GROUP BY country)),
+agg{sfx} AS (
   SELECT customer_id, {", ".join(agg)},
          arg_max(country, ({ORD})) FILTER (WHERE country IS NOT NULL) AS _last_country,
          COUNT(*) AS _n, MIN(product_id) AS _min_code
-  FROM enriched WHERE customer_id IS NOT NULL GROUP BY customer_id),
-feats AS (
-  SELECT a.customer_id, {", ".join(cols)} FROM agg a LEFT JOIN codes k ON a._last_country = k.country)"""
+  FROM enriched{sfx} WHERE customer_id IS NOT NULL GROUP BY customer_id),
+feats{sfx} AS (
+  SELECT a.customer_id, {", ".join(cols)} FROM agg{sfx} a LEFT JOIN codes{sfx} k ON a._last_country = k.country)"""
 
 
 def round_moments(df: DataFrame) -> DataFrame:

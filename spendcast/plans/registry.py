@@ -43,4 +43,4 @@ def tx(spark: SparkSession, sf_dir: str, date_col: str = "o_orderdate") -> DataF
 
 
 # Importing the query modules fills QUERIES / ORACLE.
-from spendcast.plans import q_explore, q_features, q_labels  # noqa: E402,F401
+from spendcast.plans import q_explore, q_features, q_labels, q_model  # noqa: E402,F401
