@@ -27,8 +27,8 @@ from spendcast.functions.stats import SEVEN_STATS, last_value
 from spendcast.operators.labels import TOTAL_THRES, month_label
 from spendcast.operators.lookups import first_seen_code
 from spendcast.operators.running import scan_customer
-from spendcast.operators.scan import prefix_scan
-from spendcast.operators.stats import distinct_counts, post_amount, stat_exprs
+from spendcast.operators.scan import hot_keys, materialize, prefix_scan
+from spendcast.operators.stats import customer_stats, post_amount
 from spendcast.sources.transactions import order_cols
 
 CUST_SUMS = {
@@ -71,11 +71,17 @@ FEATURE_SPEC = (
     ("country_code", ("last",)), ("eu", ("last",)), ("post", ("sum",)), ("outlier", ("last",)),
 )
 FEATURE_NAMES = tuple(f"{c}-{s}" for c, stats in FEATURE_SPEC for s in stats)
-_SPECIAL = {"order_id", "product_id", "country_code", "outlier"}
 
 
-def enrich_rows(df: DataFrame, method: str = "chunked", post_code: str | None = "POST") -> DataFrame:
-    """Row-level derivations and ordered scans (see module docstring)."""
+def enrich_rows(df: DataFrame, method: str = "auto", post_code: str | None = "POST",
+                pin: bool = True) -> DataFrame:
+    """Row-level derivations and ordered scans (see module docstring).
+
+    With ``pin`` the result is written once as a reliable checkpoint: the
+    feature aggregates (exact, moments, distinct, country codes) and both
+    cuts read it, instead of each re-running the three scan shuffles with
+    its own column pruning.
+    """
     order = order_cols()
     rows = df.select(
         "order_id", "product_id", "quantity", "order_date", "price", "customer_id", "country",
@@ -85,14 +91,20 @@ def enrich_rows(df: DataFrame, method: str = "chunked", post_code: str | None =
         eu_flag("country").alias("eu"),
         epoch_seconds("order_date").alias("order_ts"),
     )
-    rows = scan_customer(rows, CUST_SUMS, DIFFS, order, method)
-    rows = prefix_scan(rows, ["product_prefix"], order, sums=PROD_SUMS, method=method)
-    rows = prefix_scan(rows, ["order_id"], order, sums=ORDER_SUMS, method=method)
-    return rows
+    if method == "auto":
+        # one sampling job over the base rows decides all three scans
+        hot = hot_keys(rows, [["customer_id"], ["product_prefix"], ["order_id"]])
+        m_cust, m_prod, m_order = ("chunked" if h else "window" for h in hot)
+    else:
+        m_cust = m_prod = m_order = method
+    rows = scan_customer(rows, CUST_SUMS, DIFFS, order, m_cust)
+    rows = prefix_scan(rows, ["product_prefix"], order, sums=PROD_SUMS, method=m_prod)
+    rows = prefix_scan(rows, ["order_id"], order, sums=ORDER_SUMS, method=m_order)
+    return materialize(rows) if pin else rows
 
 
 def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
-                   max_rows: int = 20, method: str = "chunked") -> DataFrame:
+                   max_rows: int = 20, method: str = "auto") -> DataFrame:
     """``customer_id`` plus the 124 features over rows before month ``as_of``
     (all features as double)."""
     if enriched is None:
@@ -100,19 +112,14 @@ def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
     hist = history_before(enriched, as_of).where(F.col("customer_id").isNotNull())
     order = order_cols()
 
-    plain = [(c, stats) for c, stats in FEATURE_SPEC if c not in _SPECIAL]
-    exprs = [e for c, stats in plain for e in stat_exprs([c], stats, order)]
-    main = hist.groupBy("customer_id").agg(
-        *exprs,
-        last_value("country", order).alias("_last_country"),
-        F.count(F.lit(1)).alias("_n_rows"),
-        F.min("product_id").alias("_min_code"),
-    )
-    nunique = distinct_counts(hist)
+    spec = [(c, stats) for c, stats in FEATURE_SPEC if c not in ("country_code", "outlier")]
+    stats = customer_stats(hist, spec, order=order, sources={"product_id": "product_prefix"},
+                           extra={"_last_country": last_value("country", order),
+                                  "_n_rows": F.count(F.lit(1)),
+                                  "_min_code": F.min("product_id")})
     # one row per country: bounded by the number of countries
     codes = first_seen_code(hist, "country", order).withColumnRenamed("country", "_last_country")
-    joined = (main.join(nunique, "customer_id")
-              .join(F.broadcast(codes), "_last_country", "left"))
+    joined = stats.join(F.broadcast(codes), "_last_country", "left")
     outlier = ((F.col("_n_rows") < max_rows) & product_anomalous("_min_code")).cast("int")
     joined = joined.withColumn("country_code-last", F.col("country_code")) \
                    .withColumn("outlier-last", F.coalesce(outlier, F.lit(0)))
@@ -121,7 +128,7 @@ def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
 
 
 def training_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | None = None,
-                 max_rows: int = 20, method: str = "chunked") -> DataFrame:
+                 max_rows: int = 20, method: str = "auto") -> DataFrame:
     """Labels of the month before ``m`` with features cut at that month."""
     pm = prev_month(m)
     labels = month_label(df, pm, thr, sort=False).select("customer_id", "year_month", "label")
@@ -130,7 +137,7 @@ def training_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | N
 
 
 def scoring_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | None = None,
-                max_rows: int = 20, method: str = "chunked") -> DataFrame:
+                max_rows: int = 20, method: str = "auto") -> DataFrame:
     """Spine of month ``m`` with features cut at ``m``."""
     labels = month_label(df, m, thr, sort=False).select("customer_id", "year_month", "label")
     feats = feature_matrix(df, m, enriched, max_rows, method)
@@ -138,7 +145,7 @@ def scoring_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | No
 
 
 def build_datasets(df: DataFrame, m: str, thr=TOTAL_THRES, max_rows: int = 20,
-                   method: str = "chunked") -> tuple[DataFrame, DataFrame, list[str]]:
+                   method: str = "auto") -> tuple[DataFrame, DataFrame, list[str]]:
     """Training set, scoring set and feature names; the ordered scans run
     once for both cuts."""
     enriched = enrich_rows(history_before(df, m), method)

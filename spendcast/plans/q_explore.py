@@ -9,7 +9,7 @@ from spendcast.functions.lookups import EU_FLAG
 from spendcast.operators import anomalies as an
 from spendcast.operators import explore as ex
 from spendcast.operators import lookups as lk
-from spendcast.plans.registry import (BAND_THR, MAX_ROWS, PREV_MONTH, SUSPECT_N, TOP_Q, register,
+from spendcast.plans.base import (BAND_THR, MAX_ROWS, PREV_MONTH, SUSPECT_N, TOP_Q, register,
                                       tx, with_tx)
 
 _STOP = ", ".join(f"'{w}'" for w in ex.STOP_WORDS)

@@ -17,7 +17,7 @@ from spendcast.functions.periods import epoch_seconds, history_before, prev_mont
 from spendcast.operators import features as fe
 from spendcast.operators import stats as st
 from spendcast.operators.running import row_diffs, running_sums
-from spendcast.plans.registry import MAX_ROWS, MONTH, THR, register, tx, with_tx
+from spendcast.plans.base import MAX_ROWS, MONTH, THR, register, tx, with_tx
 from spendcast.sources.transactions import order_cols
 
 ORD = "order_date, order_id, line_seq"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spendcast.functions.periods import (day_key, epoch_seconds, history_before, in_month,
                                          month_key)
 from spendcast.operators.labels import baseline_prob, customer_spine, month_label
-from spendcast.plans.registry import MONTH, PREV_MONTH, THR, register, tx, with_tx
+from spendcast.plans.base import MONTH, PREV_MONTH, THR, register, tx, with_tx
 
 _LABEL_SQL = """
 SELECT s.customer_id, s.year_month, CAST(COALESCE(t.total, 0) AS DOUBLE) AS total,

@@ -19,7 +19,8 @@ from spendcast.operators import model as mo
 from spendcast.operators import prepare as pr
 from spendcast.operators.labels import baseline_prob, customer_spine, month_label
 from spendcast.plans.q_features import feature_sql, round_moments
-from spendcast.plans.registry import MAX_ROWS, MONTH, PREV_MONTH, THR, register, tx, with_tx
+from spendcast.operators.scan import materialize
+from spendcast.plans.base import MAX_ROWS, MONTH, PREV_MONTH, THR, register, tx, with_tx
 from spendcast.sources import sinks
 from spendcast.sources.transactions import TEMPLATE_SCHEMA, read_template
 
@@ -132,10 +133,12 @@ def q_label_encode(spark, sf_dir):
 
 
 def _datasets(spark, sf_dir):
+    """Training and scoring sets, pinned by reliable checkpoints: medians and
+    model fits read them many times."""
     df = tx(spark, sf_dir)
     enriched = fe.enrich_rows(history_before(df, MONTH))
-    train = round_moments(fe.training_set(df, MONTH, THR, enriched, MAX_ROWS))
-    test = round_moments(fe.scoring_set(df, MONTH, THR, enriched, MAX_ROWS))
+    train = materialize(round_moments(fe.training_set(df, MONTH, THR, enriched, MAX_ROWS)))
+    test = materialize(round_moments(fe.scoring_set(df, MONTH, THR, enriched, MAX_ROWS)))
     return train, test
 
 
@@ -174,7 +177,7 @@ def q_impute_median(spark, sf_dir):
 def _model_inputs(spark, sf_dir):
     train, test = _datasets(spark, sf_dir)
     train_i, test_i, _ = pr.impute_median(train, test, list(fe.FEATURE_NAMES))
-    return train_i, test_i
+    return materialize(train_i), materialize(test_i)
 
 
 @register("fit_predict")
