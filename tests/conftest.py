@@ -6,6 +6,7 @@ import sys
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,5 +38,5 @@ def make_tx(spark, rows):
         total = None if (q is None or price is None) else (price * q).quantize(Decimal("0.01"))
         out.append((oid, pid, f"item {pid}", q, ts(d) if isinstance(d, str) else d, price, cid,
                     country, total, seq))
-    schema = TRANSACTIONS_SCHEMA.add("line_seq", "int")
+    schema = T.StructType(TRANSACTIONS_SCHEMA.fields + [T.StructField("line_seq", T.IntegerType())])
     return spark.createDataFrame(out, schema)
