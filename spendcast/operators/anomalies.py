@@ -65,8 +65,11 @@ def with_normalized_product(df: DataFrame, name: str = "product_id") -> DataFram
     return df.withColumn(name, normalize_product_id("product_id"))
 
 
-def only_codes_customers(df: DataFrame, codes: list[str]) -> DataFrame:
-    """Customers whose every row carries one of ``codes``."""
+def only_codes_customers(df: DataFrame, codes: list[str] | None = None) -> DataFrame:
+    """Customers whose every row carries one of ``codes`` (default: every
+    row has an anomalous code, e.g. test accounts or adjustments only)."""
+    flag = (F.col("product_id").isin(codes) if codes is not None
+            else F.coalesce(product_anomalous("product_id"), F.lit(False)))
     return (df.where(_nn()).groupBy("customer_id")
-            .agg(F.bool_and(F.col("product_id").isin(codes)).alias("only"))
+            .agg(F.bool_and(flag).alias("only"))
             .where("only").select("customer_id"))

@@ -193,3 +193,46 @@ def busiest_customer(df: DataFrame) -> DataFrame:
     """The customer with the most rows (smallest id on ties); one row."""
     return (df.where(_nn()).groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "customer_id").limit(1).select("customer_id"))
+
+
+# --- ideas stated in the exploration notes (sessions, repurchase, postage) --
+
+def customer_sessions(df: DataFrame, gap_seconds: int = 300, method: str = "auto") -> DataFrame:
+    """Per customer, the number of shopping sessions (rows less than
+    ``gap_seconds`` apart belong to one session) and whether they returned
+    after their first session.  The previous-row timestamp comes from the
+    skew-safe scan."""
+    from spendcast.functions.periods import epoch_seconds
+    from spendcast.operators.scan import prefix_scan
+    from spendcast.sources.transactions import order_cols
+    rows = df.where(_nn()).select("customer_id", "order_date", "order_id", "line_seq",
+                                  epoch_seconds().alias("ts"))
+    rows = prefix_scan(rows, ["customer_id"], order_cols(), lags={"prev_ts": "ts"}, method=method)
+    new = F.col("prev_ts").isNull() | (F.col("ts") - F.col("prev_ts") > gap_seconds)
+    return (rows.groupBy("customer_id").agg(F.count_if(new).alias("n_sessions"))
+            .withColumn("returned", (F.col("n_sessions") > 1).cast("int")))
+
+
+def repurchase_rate(df: DataFrame) -> DataFrame:
+    """Per month, the customers active in the previous month, how many of
+    them are active again, and the share.  Equi-join of distinct
+    (customer, month) pairs on the shifted month: no hot key."""
+    active = df.where(_nn()).select("customer_id", month_key().alias("year_month")).distinct()
+    prev = active.select("customer_id", F.date_format(
+        F.add_months(F.to_date("year_month", "yyyy-MM"), 1), "yyyy-MM").alias("year_month"),
+        F.lit(1).alias("was_active"))
+    joined = prev.join(active.withColumn("is_active", F.lit(1)), ["customer_id", "year_month"], "left")
+    return (joined.groupBy("year_month")
+            .agg(F.count(F.lit(1)).alias("n_prev_active"),
+                 F.count("is_active").alias("n_returning"))
+            .withColumn("repurchase_rate",
+                        F.col("n_returning").cast("double") / F.col("n_prev_active").cast("double")))
+
+
+def postage_by_country(df: DataFrame, code: str = "POST") -> DataFrame:
+    """Postage lines per country, ranked (rank 1 = most).  The ranking window
+    sees one row per country."""
+    from pyspark.sql import Window
+    counts = (df.where(F.col("product_id") == code).groupBy("country")
+              .agg(F.count(F.lit(1)).alias("n_post")))
+    return counts.withColumn("rank", F.rank().over(Window.orderBy(F.desc("n_post"))))

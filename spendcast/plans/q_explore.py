@@ -242,3 +242,39 @@ _EU_CASE = "CASE " + " ".join(f"WHEN country = '{k}' THEN {v}" for k, v in EU_FL
     f"SELECT country, CAST({_EU_CASE} AS INTEGER) AS eu, COUNT(*) AS n_rows FROM transactions GROUP BY 1, 2"))
 def q_eu_flag(spark, sf_dir):
     return lk.eu_flag(tx(spark, sf_dir)).groupBy("country", "eu").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("only_anomalous_customers", with_tx(
+    f"SELECT customer_id FROM transactions WHERE customer_id IS NOT NULL GROUP BY customer_id "
+    f"HAVING bool_and(COALESCE({_ANOM}, false))"))
+def q_only_anomalous_customers(spark, sf_dir):
+    return an.only_codes_customers(tx(spark, sf_dir))
+
+
+@register("customer_sessions", with_tx(
+    "SELECT customer_id, COUNT(*) FILTER (WHERE prev_ts IS NULL OR ts - prev_ts > 300) AS n_sessions, "
+    "CAST(COUNT(*) FILTER (WHERE prev_ts IS NULL OR ts - prev_ts > 300) > 1 AS INTEGER) AS returned "
+    "FROM (SELECT customer_id, epoch(order_date) AS ts, LAG(epoch(order_date)) OVER "
+    "(PARTITION BY customer_id ORDER BY order_date, order_id, line_seq) AS prev_ts FROM transactions "
+    "WHERE customer_id IS NOT NULL) GROUP BY customer_id", date_col="l_shipdate"))
+def q_customer_sessions(spark, sf_dir):
+    return ex.customer_sessions(tx(spark, sf_dir, "l_shipdate"))
+
+
+@register("repurchase_rate", with_tx(
+    "SELECT strftime(CAST(p.ym || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS year_month, "
+    "COUNT(*) AS n_prev_active, COUNT(c.customer_id) AS n_returning, "
+    "CAST(COUNT(c.customer_id) AS DOUBLE) / COUNT(*) AS repurchase_rate "
+    "FROM a p LEFT JOIN a c ON p.customer_id = c.customer_id "
+    "AND c.ym = strftime(CAST(p.ym || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') GROUP BY 1",
+    "a AS (SELECT DISTINCT customer_id, strftime(order_date, '%Y-%m') AS ym FROM transactions "
+    "WHERE customer_id IS NOT NULL)"))
+def q_repurchase_rate(spark, sf_dir):
+    return ex.repurchase_rate(tx(spark, sf_dir))
+
+
+@register("postage_by_country", with_tx(
+    "SELECT country, COUNT(*) AS n_post, CAST(RANK() OVER (ORDER BY COUNT(*) DESC) AS INTEGER) AS rank "
+    "FROM transactions WHERE product_id = 'POST' GROUP BY country"))
+def q_postage_by_country(spark, sf_dir):
+    return ex.postage_by_country(tx(spark, sf_dir))

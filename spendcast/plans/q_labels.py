@@ -93,3 +93,19 @@ def q_customer_lookup(spark, sf_dir):
     from spendcast.operators.explore import for_customer, busiest_customer
     df = tx(spark, sf_dir)
     return for_customer(df, busiest_customer(df))
+
+
+_BASE_COLS = ("order_id", "product_id", "description", "quantity", "order_date", "price",
+              "customer_id", "country", "total")
+
+
+@register("csv_scan", with_tx(f"SELECT {', '.join(_BASE_COLS)} FROM transactions"))
+def q_csv_scan(spark, sf_dir):
+    """Order lines written as a headered CSV file (the original input format)
+    and read back with the fixed schema."""
+    from spendcast.sources import sinks
+    from spendcast.sources.transactions import read_transactions
+    path = sinks.scratch_path(spark, "order-lines")
+    sinks.write_dataset(tx(spark, sf_dir).select(*_BASE_COLS), path, "csv",
+                        options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"})
+    return read_transactions(spark, path, "csv").select(*_BASE_COLS)
