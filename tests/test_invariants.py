@@ -54,3 +54,14 @@ def test_oof_predictions_shape(spark):
     lo, hi = test_mean.agg(F.min("probability"), F.max("probability")).first()
     assert 0.0 <= lo <= hi <= 1.0
     assert fi.count() == 2 * len(names)
+
+
+def test_oof_early_stopping(spark):
+    tx = fixture_transactions(spark, SMOKE)
+    train, test, names = fe.build_datasets(tx, M, thr=25000, max_rows=45)
+    train, test, _ = pr.impute_median(train, test, names)
+    oof, test_mean, _ = mo.oof_predict(train, test, names, k=2, early_stopping=True,
+                                       estimator=mo.default_estimator(
+                                           max_iter=4, max_depth=2, validation_col="_is_val"))
+    assert oof.count() == train.count()
+    assert test_mean.where("probability < 0 OR probability > 1").count() == 0
