@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from spendcast.functions.codes import product_anomalous, product_prefix
 from spendcast.functions.lookups import eu_flag
-from spendcast.functions.periods import epoch_seconds, history_before, prev_month
+from spendcast.functions.periods import epoch_seconds, history_before, month_start, prev_month
 from spendcast.functions.stats import SEVEN_STATS, last_value
 from spendcast.operators.labels import TOTAL_THRES, month_label
 from spendcast.operators.lookups import first_seen_code
@@ -103,28 +103,43 @@ def enrich_rows(df: DataFrame, method: str = "auto", post_code: str | None = "PO
     return materialize(rows) if pin else rows
 
 
-def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
-                   max_rows: int = 20, method: str = "auto") -> DataFrame:
-    """``customer_id`` plus the 124 features over rows before month ``as_of``
-    (all features as double)."""
+def feature_matrices(df: DataFrame, cuts: list[str], enriched: DataFrame | None = None,
+                     max_rows: int = 20, method: str = "auto") -> DataFrame:
+    """``customer_id, as_of`` plus the 124 features for several history cuts
+    in one aggregate: every enriched row is sent to each cut it precedes
+    (the cuts are nested, so a row joins at most ``len(cuts)`` of them)."""
+    cuts = sorted(set(cuts))
     if enriched is None:
-        enriched = enrich_rows(history_before(df, as_of), method)
-    hist = history_before(enriched, as_of).where(F.col("customer_id").isNotNull())
+        enriched = enrich_rows(history_before(df, cuts[-1]), method)
     order = order_cols()
-
+    tagged = F.explode(F.array(*[F.struct(F.lit(c).alias("as_of"), month_start(c).alias("ts"))
+                                 for c in cuts])).alias("_cut")
+    rows = (enriched.where(F.col("customer_id").isNotNull()).select("*", tagged)
+            .where(F.col("order_date") < F.col("_cut.ts"))
+            .withColumn("as_of", F.col("_cut.as_of")).drop("_cut"))
+    keys = ["customer_id", "as_of"]
     spec = [(c, stats) for c, stats in FEATURE_SPEC if c not in ("country_code", "outlier")]
-    stats = customer_stats(hist, spec, order=order, sources={"product_id": "product_prefix"},
+    stats = customer_stats(rows, spec, keys=keys, order=order,
+                           sources={"product_id": "product_prefix"},
                            extra={"_last_country": last_value("country", order),
                                   "_n_rows": F.count(F.lit(1)),
                                   "_min_code": F.min("product_id")})
-    # one row per country: bounded by the number of countries
-    codes = first_seen_code(hist, "country", order).withColumnRenamed("country", "_last_country")
-    joined = stats.join(F.broadcast(codes), "_last_country", "left")
+    # one row per (cut, country): bounded by the number of countries per cut
+    codes = (first_seen_code(rows, "country", order, by=["as_of"])
+             .withColumnRenamed("country", "_last_country"))
+    joined = stats.join(F.broadcast(codes), ["as_of", "_last_country"], "left")
     outlier = ((F.col("_n_rows") < max_rows) & product_anomalous("_min_code")).cast("int")
-    joined = joined.withColumn("country_code-last", F.col("country_code")) \
-                   .withColumn("outlier-last", F.coalesce(outlier, F.lit(0)))
-    return joined.select("customer_id", *[F.col(f"`{n}`").cast("double").alias(n)
-                                          for n in FEATURE_NAMES])
+    feats = {"country_code-last": F.col("country_code"),
+             "outlier-last": F.coalesce(outlier, F.lit(0))}
+    return joined.select("customer_id", "as_of", *[
+        feats.get(n, F.col(f"`{n}`")).cast("double").alias(n) for n in FEATURE_NAMES])
+
+
+def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
+                   max_rows: int = 20, method: str = "auto") -> DataFrame:
+    """``customer_id`` plus the 124 features over rows before month ``as_of``
+    (all features as double)."""
+    return feature_matrices(df, [as_of], enriched, max_rows, method).drop("as_of")
 
 
 def training_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | None = None,
@@ -146,9 +161,16 @@ def scoring_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | No
 
 def build_datasets(df: DataFrame, m: str, thr=TOTAL_THRES, max_rows: int = 20,
                    method: str = "auto") -> tuple[DataFrame, DataFrame, list[str]]:
-    """Training set, scoring set and feature names; the ordered scans run
-    once for both cuts."""
+    """Training set (labels of the month before ``m``, features cut there)
+    and scoring set (spine of ``m``, features cut at ``m``), and the feature
+    names.  The scans run once, both cuts come out of one aggregate, and the
+    matrix is pinned before it is split."""
+    pm = prev_month(m)
     enriched = enrich_rows(history_before(df, m), method)
-    train = training_set(df, m, thr, enriched, max_rows, method)
-    test = scoring_set(df, m, thr, enriched, max_rows, method)
-    return train, test, list(FEATURE_NAMES)
+    mats = materialize(feature_matrices(df, [pm, m], enriched, max_rows, method))
+    out = []
+    for month in (pm, m):
+        labels = month_label(df, month, thr, sort=False).select("customer_id", "year_month", "label")
+        feats = mats.where(F.col("as_of") == month).drop("as_of")
+        out.append(labels.join(feats, "customer_id", "left"))
+    return out[0], out[1], list(FEATURE_NAMES)

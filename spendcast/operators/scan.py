@@ -118,15 +118,12 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     if method == "window":
         w = Window.partitionBy(*keys).orderBy(*order)
         run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df
-        for name, src in sums.items():
-            out = out.withColumn(name, F.when(key_ok & F.col(src).isNotNull(),
-                                              F.sum(src).over(run)).cast(sum_types[name]))
-        for name, src in lags.items():
-            out = out.withColumn(name, F.when(key_ok, F.lag(src, 1).over(w)))
+        new = {name: F.when(key_ok & F.col(src).isNotNull(), F.sum(src).over(run))
+               .cast(sum_types[name]) for name, src in sums.items()}
+        new.update({name: F.when(key_ok, F.lag(src, 1).over(w)) for name, src in lags.items()})
         if row_number:
-            out = out.withColumn(row_number, F.when(key_ok, F.row_number().over(w)))
-        return out.drop(_ALL)
+            new[row_number] = F.when(key_ok, F.row_number().over(w))
+        return df.withColumns(new).drop(_ALL)
     if method != "chunked":
         raise ValueError(f"unknown method {method!r}")
 
@@ -161,16 +158,16 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rn = F.row_number().over(w)
-    out = joined
+    new = {}
     for name, src in sums.items():
         total = F.coalesce(F.col(f"_o_{name}"), F.lit(0)) + F.sum(src).over(run)
-        out = out.withColumn(name, F.when(key_ok & F.col(src).isNotNull(), total)
-                             .cast(sum_types[name]))
+        new[name] = F.when(key_ok & F.col(src).isNotNull(), total).cast(sum_types[name])
     for name, src in lags.items():
-        out = out.withColumn(name, F.when(key_ok, F.when(rn == 1, F.col(f"_c_{name}"))
-                                          .otherwise(F.lag(src, 1).over(w))))
+        new[name] = F.when(key_ok, F.when(rn == 1, F.col(f"_c_{name}"))
+                           .otherwise(F.lag(src, 1).over(w)))
     if row_number:
-        out = out.withColumn(row_number, F.when(key_ok, F.coalesce(F.col("_o_n"), F.lit(0)) + rn))
+        new[row_number] = F.when(key_ok, F.coalesce(F.col("_o_n"), F.lit(0)) + rn)
+    out = joined.withColumns(new)
     helper = [c for c in out.columns if c.startswith(("_o_", "_c_"))] + [_CHUNK, _ALL]
     return out.drop(*helper)
 

@@ -135,11 +135,8 @@ def q_label_encode(spark, sf_dir):
 def _datasets(spark, sf_dir):
     """Training and scoring sets, pinned by reliable checkpoints: medians and
     model fits read them many times."""
-    df = tx(spark, sf_dir)
-    enriched = fe.enrich_rows(history_before(df, MONTH))
-    train = materialize(round_moments(fe.training_set(df, MONTH, THR, enriched, MAX_ROWS)))
-    test = materialize(round_moments(fe.scoring_set(df, MONTH, THR, enriched, MAX_ROWS)))
-    return train, test
+    train, test, _ = fe.build_datasets(tx(spark, sf_dir), MONTH, THR, MAX_ROWS)
+    return materialize(round_moments(train)), materialize(round_moments(test))
 
 
 _NAMES = ", ".join(f"('{n}')" for n in fe.FEATURE_NAMES)
