@@ -23,8 +23,8 @@ def con():
 def test_contract(spark):
     assert set(SQL) <= set(QUERIES)
     df = entry.entry(spark)
-    assert df.columns == ["customer_id", "probability"]
-    assert df.count() >= 0
+    assert df.columns[0] == "customer_id" and len(df.columns) == 125
+    assert df.count() > 0
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
