@@ -102,11 +102,10 @@ def quantile(df: DataFrame, col: str, q: float, name: str = "quantile") -> DataF
     kept.
     """
     vals = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
-    n = vals.agg(F.count(F.lit(1)).alias("n"))
-    pos = F.lit(q) * (F.col("n") - 1)
+    n = vals.agg(F.count(F.lit(1))).scalar()  # scalar subquery, run once
+    pos = F.lit(q) * (n - 1)
     ranked = global_rank(vals, [], [F.col("v")], name="r")
-    near = (ranked.crossJoin(F.broadcast(n))  # one-row side
-            .where((F.col("r") - 1 == F.floor(pos)) | (F.col("r") - 1 == F.ceil(pos)))
+    near = (ranked.where((F.col("r") - 1 == F.floor(pos)) | (F.col("r") - 1 == F.ceil(pos)))
             .select("v", "r", pos.alias("pos")))
     lo, hi = F.min_by("v", "r"), F.max_by("v", "r")
     frac = F.first("pos") - F.floor(F.first("pos"))
@@ -116,9 +115,8 @@ def quantile(df: DataFrame, col: str, q: float, name: str = "quantile") -> DataF
 def top_spenders(df: DataFrame, q: float = 0.999) -> DataFrame:
     """Customers whose total spend is strictly above the ``q`` quantile."""
     totals = spend_by_customer(df)
-    cut = quantile(totals, "total", q, name="cut")
-    return (totals.crossJoin(F.broadcast(cut))  # one-row side
-            .where(F.col("total") > F.col("cut")).select("customer_id", "total"))
+    cut = quantile(totals, "total", q, name="cut").scalar()  # scalar subquery
+    return totals.where(F.col("total") > cut).select("customer_id", "total")
 
 
 def order_day_counts(df: DataFrame) -> DataFrame:
