@@ -24,7 +24,7 @@ from spendcast.functions.codes import product_anomalous, product_prefix
 from spendcast.functions.lookups import eu_flag
 from spendcast.functions.periods import epoch_seconds, history_before, month_start, prev_month
 from spendcast.functions.stats import SEVEN_STATS, last_value
-from spendcast.operators.labels import TOTAL_THRES, month_label
+from spendcast.operators.labels import TOTAL_THRES, month_label, month_labels
 from spendcast.operators.lookups import first_seen_code
 from spendcast.operators.running import scan_customer
 from spendcast.operators.scan import hot_keys, materialize, prefix_scan
@@ -163,14 +163,16 @@ def build_datasets(df: DataFrame, m: str, thr=TOTAL_THRES, max_rows: int = 20,
                    method: str = "auto") -> tuple[DataFrame, DataFrame, list[str]]:
     """Training set (labels of the month before ``m``, features cut there)
     and scoring set (spine of ``m``, features cut at ``m``), and the feature
-    names.  The scans run once, both cuts come out of one aggregate, and the
-    matrix is pinned before it is split."""
+    names.  The scans run once; both cuts come out of one aggregate and both
+    label months out of another; the two results are pinned, and the sets
+    are joins of pinned tables."""
     pm = prev_month(m)
     enriched = enrich_rows(history_before(df, m), method)
     mats = materialize(feature_matrices(df, [pm, m], enriched, max_rows, method))
+    labels = materialize(month_labels(df, [pm, m], thr))
     out = []
     for month in (pm, m):
-        labels = month_label(df, month, thr, sort=False).select("customer_id", "year_month", "label")
+        lab = labels.where(F.col("year_month") == month).select("customer_id", "year_month", "label")
         feats = mats.where(F.col("as_of") == month).drop("as_of")
-        out.append(labels.join(feats, "customer_id", "left"))
+        out.append(lab.join(feats, "customer_id", "left"))
     return out[0], out[1], list(FEATURE_NAMES)

@@ -42,12 +42,27 @@ def month_label(df: DataFrame, m: str, thr=TOTAL_THRES, sort: bool = True) -> Da
 
 
 def month_labels(df: DataFrame, months: list[str], thr=TOTAL_THRES) -> DataFrame:
-    """Labels of several months stacked (one aggregate per month)."""
-    frames = [month_label(df, m, thr, sort=False) for m in months]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Labels of several months from one scan and one aggregate: per
+    customer, whether they were seen before each month and their spend in
+    it; then one output row per (customer, month) of that month's spine."""
+    months = sorted(set(months))
+    end = month_start(add_months(months[-1], 1))
+    aggs = []
+    for i, m in enumerate(months):
+        start, stop = month_start(m), month_start(add_months(m, 1))
+        in_m = (F.col("order_date") >= start) & (F.col("order_date") < stop)
+        aggs += [F.bool_or(F.col("order_date") < start).alias(f"_seen{i}"),
+                 F.sum(F.when(in_m, F.col("total"))).alias(f"_t{i}")]
+    per_cust = (df.where((F.col("order_date") < end) & F.col("customer_id").isNotNull())
+                .groupBy("customer_id").agg(*aggs))
+    per_month = F.explode(F.array(*[
+        F.struct(F.lit(m).alias("year_month"), F.col(f"_seen{i}").alias("seen"),
+                 F.coalesce(F.col(f"_t{i}"), F.lit(0)).alias("t"))
+        for i, m in enumerate(months)])).alias("_m")
+    rows = per_cust.select("customer_id", per_month).where("_m.seen")
+    return rows.select("customer_id", F.col("_m.year_month").alias("year_month"),
+                       F.col("_m.t").cast("double").alias("total"),
+                       (F.col("_m.t") > F.lit(thr)).cast("int").alias("label"))
 
 
 def baseline_prob(df: DataFrame, m: str, thr=TOTAL_THRES, include_new: bool = False) -> DataFrame:

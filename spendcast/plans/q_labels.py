@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from spendcast.functions.periods import (day_key, epoch_seconds, history_before, in_month,
                                          month_key)
-from spendcast.operators.labels import baseline_prob, customer_spine, month_label
+from spendcast.operators.labels import baseline_prob, customer_spine, month_label, month_labels
 from spendcast.plans.base import MONTH, PREV_MONTH, THR, register, tx, with_tx
 
 _LABEL_SQL = """
@@ -109,3 +109,9 @@ def q_csv_scan(spark, sf_dir):
     sinks.write_dataset(tx(spark, sf_dir).select(*_BASE_COLS), path, "csv",
                         options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"})
     return read_transactions(spark, path, "csv").select(*_BASE_COLS)
+
+
+@register("month_labels", with_tx(
+    _LABEL_SQL.format(m=PREV_MONTH, thr=THR) + " UNION ALL " + _LABEL_SQL.format(m=MONTH, thr=THR)))
+def q_month_labels(spark, sf_dir):
+    return month_labels(tx(spark, sf_dir), [PREV_MONTH, MONTH], THR)

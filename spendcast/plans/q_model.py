@@ -133,10 +133,10 @@ def q_label_encode(spark, sf_dir):
 
 
 def _datasets(spark, sf_dir):
-    """Training and scoring sets, pinned by reliable checkpoints: medians and
-    model fits read them many times."""
+    """Training and scoring sets: joins of pinned label and feature tables
+    (medians and model fits read them many times)."""
     train, test, _ = fe.build_datasets(tx(spark, sf_dir), MONTH, THR, MAX_ROWS)
-    return materialize(round_moments(train)), materialize(round_moments(test))
+    return round_moments(train), round_moments(test)
 
 
 _NAMES = ", ".join(f"('{n}')" for n in fe.FEATURE_NAMES)
