@@ -53,29 +53,6 @@ def adj_skew(col: Column | str) -> Column:
             .otherwise(F.skewness(c) * F.sqrt(n * (n - 1)) / (n - 2)))
 
 
-def stat(col: Column | str, name: str) -> Column:
-    """One of the seven statistics, or ``nunique``/``first``/``last`` helpers
-    that need no row order."""
-    c = _c(col)
-    if name == "mean":
-        return exact_mean(c)
-    if name == "max":
-        return F.max(c)
-    if name == "min":
-        return F.min(c)
-    if name == "sum":
-        return F.coalesce(F.sum(c), F.lit(0))
-    if name == "count":
-        return F.count(c)
-    if name == "std":
-        return F.stddev_samp(c)
-    if name == "skew":
-        return adj_skew(c)
-    if name == "nunique":
-        return F.count_distinct(c)
-    raise ValueError(f"unknown statistic {name!r}")
-
-
 def first_value(col: Column | str, order: Sequence[Column]) -> Column:
     """Value on the earliest row where it is not null."""
     c = _c(col)

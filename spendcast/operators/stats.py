@@ -134,20 +134,3 @@ def post_spend(df: DataFrame, code: str | None = "POST") -> DataFrame:
     return (rows.groupBy("customer_id")
             .agg(F.sum(floor0("total")).cast("double").alias("post")))
 
-
-def stat_exprs(cols: Iterable[str], stats: Sequence[str] = SEVEN_STATS,
-               order: Sequence[Column] | None = None) -> list[Column]:
-    """Single-aggregate form of the statistics (for small inputs and tests)."""
-    from spendcast.functions.stats import stat
-    order = list(order or order_cols())
-    out = []
-    for c in cols:
-        for s in stats:
-            if s == "first":
-                e = first_value(c, order)
-            elif s == "last":
-                e = last_value(c, order)
-            else:
-                e = stat(c, s)
-            out.append(e.alias(f"{c}-{s}"))
-    return out

@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendcast.plans.fixture_sql import with_tx
+from spendcast.plans.fixture_sql import with_tx  # noqa: F401  (re-exported to the query modules)
 from spendcast.sources.transactions import fixture_transactions
 
 # Fixture parameters (the library defaults stay those of the original task:

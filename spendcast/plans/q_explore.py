@@ -68,11 +68,11 @@ def q_spend_by_customer_order(spark, sf_dir):
 
 
 @register("mean_of_order_means", with_tx(
-    "SELECT customer_id, ROUND(AVG(m), 6) AS mean_order_mean FROM ("
+    "SELECT customer_id, AVG(m) AS mean_order_mean FROM ("
     " SELECT customer_id, order_id, CAST(SUM(total) AS DOUBLE) / COUNT(total) AS m FROM transactions"
     " WHERE customer_id IS NOT NULL AND order_id IS NOT NULL GROUP BY 1, 2) GROUP BY 1"))
 def q_mean_of_order_means(spark, sf_dir):
-    return ex.mean_of_order_means(tx(spark, sf_dir), digits=6)
+    return ex.mean_of_order_means(tx(spark, sf_dir))
 
 
 @register("order_value_bands", with_tx(

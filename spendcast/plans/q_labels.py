@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from spendcast.functions.periods import (day_key, epoch_seconds, history_before, in_month,
                                          month_key)
