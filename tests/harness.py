@@ -3,8 +3,9 @@
     python -m tests.harness [sf_dir] [name ...]
 
 Comparison: same column names, same row count, and the same multiset of rows
-after column sort.  ``exact`` compares values as returned; ``approx`` rounds
-floats to 9 significant digits.
+after column sort.  ``exact`` compares values as returned; ``approx`` pairs
+the rows in a sort on coarsely rounded values and then allows a relative
+difference of 1e-9 between floats (rounding alone would flip at ties).
 """
 
 from __future__ import annotations
@@ -72,15 +73,37 @@ def compare(spark, con, name, fn, sql, sf_dir):
     if not out["cols_match"]:
         out["cols"] = (sorted(s_cols), sorted(d_cols))
         return out
-    for mode in ("exact", "approx"):
-        a, b = _rows(s_cols, s_rows, mode == "approx"), _rows(d_cols, d_rows, mode == "approx")
-        out[mode] = a == b
-        if not out[mode] and mode == "approx":
-            diff = [(x, y) for x, y in zip(a, b) if x != y][:2]
-            out["first_diff"] = diff
+    out["exact"] = _rows(s_cols, s_rows, False) == _rows(d_cols, d_rows, False)
+    a = _paired(s_cols, s_rows)
+    b = _paired(d_cols, d_rows)
+    diff = [(x, y) for x, y in zip(a, b) if not _close(x, y)]
+    out["approx"] = len(a) == len(b) and not diff
+    if diff:
+        out["first_diff"] = diff[:2]
     return out
 
 
+def _paired(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    vals = [tuple(_norm(r[i], False) for i in order) for r in rows]
+
+    def key(t):
+        return tuple((x is None, str(type(x)),
+                      float(f"{x:.6g}") if isinstance(x, float) else (x if x is not None else 0))
+                     for x in t)
+    return sorted(vals, key=key)
+
+
+def _close(x, y):
+    for u, v in zip(x, y):
+        if isinstance(u, float) and isinstance(v, float):
+            if not math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-12):
+                return False
+        elif u != v:
+            return False
+    return len(x) == len(y)
+
+
 def main(argv):
     from spendcast.session import build_session
     import __spark_entry__ as entry
