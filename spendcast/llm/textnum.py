@@ -64,7 +64,7 @@ def grams(pre: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of ``k`` values, by start."""
     n = max(0, len(pre) - k)
     _, down = powers(len(pre))
-    return mix((pre[k:k + n] - pre[:n]) * down[:n] + U(k) * U(0xD6E8FEB86659FD93))
+    return mix((pre[k:k + n] - pre[:n]) * down[:n] + U(k * 0xD6E8FEB86659FD93 % (1 << 64)))
 
 
 def bytes_prefix(buf: np.ndarray) -> np.ndarray:
