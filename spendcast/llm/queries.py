@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import exact_dedup, quality_rules, substring_dedup, suffix_dedup
 
 QUERIES = {}
 ORACLE = {}
@@ -39,3 +39,24 @@ from d left join kept using (doc_id) left join n using (doc_id)
 """)
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(_docs(spark, sf_dir))
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(_docs(spark, sf_dir))
+
+
+@query(r"""
+with d as (select doc_id, length(coalesce(text, '')) as chars,
+                  sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256 from documents)
+select doc_id, first(doc_id) over w as keep_id, count(*) over (partition by text_sha256) as group_size,
+       first(doc_id) over w = doc_id as kept, text_sha256
+from d window w as (partition by text_sha256 order by chars desc, doc_id)
+""")
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.decisions(_docs(spark, sf_dir))
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_docs(spark, sf_dir))

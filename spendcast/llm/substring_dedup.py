@@ -87,8 +87,9 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     reps = pin(runs.groupBy("run", "n").agg(F.min(small).alias("owner"), F.first("body").alias("body")), "zstd")
     nodes = reps.select("run", "body").mapInArrow(
         _nodes(size), "run long, words int, j int, node long, link long")
-    junctions = (nodes.groupBy("node").agg(F.min("link").alias("a"), F.max("link").alias("b"))
-                 .where("a <> b").select("node"))
+    # pinned, so that the join below shuffles both sides and can split a hot node
+    junctions = pin(nodes.groupBy("node").agg(F.min("link").alias("a"), F.max("link").alias("b"))
+                    .where("a <> b").select("node"))
     cuts = (nodes.join(junctions, "node").groupBy("run", "words")
             .agg(F.collect_list("j").alias("cuts"))
             .select("run", (F.col("words") - (size - 1)).cast("long").alias("n"), "cuts"))
@@ -160,9 +161,7 @@ def substring_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
 
 def _cut_text(text, spans):
     """Kept words of a text, joined by one space."""
-    from pyspark.sql.functions import arrow_udf
-
-    @arrow_udf("string")
+    @F.arrow_udf("string")
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
         out = []
         for t, s in zip(texts.to_pylist(), found.to_pylist()):
