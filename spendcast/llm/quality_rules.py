@@ -106,7 +106,8 @@ def references(docs: DataFrame) -> DataFrame:
     q = (best.join(totals, best["lang"].eqNullSafe(totals["lang"])).select(best["lang"], "word", (F.col("count") / F.col("total")).alias("q"), "r")
          .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "q"))).alias("q_words")))
     return pin(shares.join(q, shares["lang"].eqNullSafe(q["lang"]), "left").select(
-        shares["lang"].alias("ref"), "q_chars", F.coalesce("q_words", F.array().cast("array<struct<r:int,word:string,q:double>>")).alias("q_words")).coalesce(1))
+        shares["lang"].alias("ref"), "q_chars", F.coalesce("q_words", F.array().cast("array<struct<r:int,word:string,q:double>>")).alias("q_words"))
+        .withColumn("q_list", F.col("q_words")["word"]).coalesce(1))
 
 
 def _js(p: Column, q: Column) -> Column:
@@ -131,7 +132,7 @@ def distances(docs: DataFrame) -> DataFrame:
     d = d.join(F.broadcast(refs), F.col("known").eqNullSafe(F.col("ref")), "left")
     p = F.array(*[F.struct((F.col(c) / F.greatest("chars", F.lit(1))).alias("p"), F.col("q_chars")[i].alias("q"))
                   for i, c in enumerate(CLASSES)])
-    d = d.withColumn("hits", F.filter("words", lambda w: F.array_contains(F.col("q_words")["word"], w)))
+    d = d.withColumn("hits", F.filter("words", lambda w: F.array_contains("q_list", w)))
     shares = F.transform("q_words", lambda x: F.struct(
         (F.size(F.filter("hits", lambda h: h == x["word"])) / F.greatest("n_words", F.lit(1))).alias("p"), x["q"].alias("q")))
     rest = F.struct((1 - F.size("hits") / F.greatest("n_words", F.lit(1))).alias("p"),

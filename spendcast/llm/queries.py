@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, quality_rules, substring_dedup, suffix_dedup
+from . import exact_dedup, near_dedup, packing, quality_rules, substring_dedup, suffix_dedup
 
 QUERIES = {}
 ORACLE = {}
@@ -60,3 +60,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_docs(spark, sf_dir))
+
+
+@query()
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.decisions(_docs(spark, sf_dir))
+
+
+@query()
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_docs(spark, sf_dir))

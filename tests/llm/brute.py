@@ -42,3 +42,31 @@ def op1(docs, size=400):
         kept = bytes(x for x, g in zip(b, gone) if not g)
         out[d] = (len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def op2(docs, size=5, num=75, den=100):
+    sets, parent = {}, {}
+    for d, t in docs:
+        w = (t or "").encode().lower().split()
+        sets[d] = {tuple(w[i:i + size]) for i in range(len(w) - size + 1)} or ({tuple(w)} if w else set())
+        parent[d] = d
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    where = {}
+    for d, s in sets.items():
+        for g in s:
+            where.setdefault(g, []).append(d)
+    pairs = Counter()
+    for ds in where.values():
+        for i, a in enumerate(ds):
+            for b in ds[i + 1:]:
+                pairs[a, b] += 1
+    for (a, b), x in pairs.items():
+        if den * x >= num * (len(sets[a]) + len(sets[b]) - x):
+            ra, rb = root(a), root(b)
+            parent[max(ra, rb)] = min(ra, rb)
+    return {d: (len(s), root(d), root(d) == d) for d, s in sets.items()}
