@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, near_dedup, packing, quality_rules, substring_dedup, suffix_dedup
+from . import (exact_dedup, merge_dropout, near_dedup, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup,
+               toxicity, url_filters)
 
 QUERIES = {}
 ORACLE = {}
@@ -70,3 +72,34 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_docs(spark, sf_dir))
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@query()
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return quality_crf.score(docs, quality_crf.train(docs, _labels(spark, sf_dir)))
+
+
+@query()
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    # a page's url ends in the id of the document it shows, which labels.quality marks
+    shown = F.regexp_extract(url_filters.path_of(F.col("url")), r"/([0-9]{1,18})(?:[./]|$)", 1)
+    good = pages.select("page_id", F.try_to_number(shown, F.lit("999999999999999999")).cast("long").alias("doc_id")).join(
+        _labels(spark, sf_dir).select("doc_id", F.col("quality").alias("good")), "doc_id").select("page_id", "good")
+    return url_filters.judge(pages, good)
+
+
+@query()
+def op6_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    return toxicity.score(docs, toxicity.train(docs, _labels(spark, sf_dir)))
+
+
+@query()
+def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.digests(_docs(spark, sf_dir))

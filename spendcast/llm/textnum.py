@@ -92,15 +92,15 @@ def text_slices(column, most: int = 1 << 21):
 
 
 class Words:
-    """Words of a slice: runs of bytes that are not ASCII white space.
+    """Words of a slice: runs of bytes outside ``space`` (ASCII white space).
 
     start, end: byte places of each word; first: index of each row's first word
     (one entry more than rows); row: the row of each word; hash: 64-bit hash.
     """
 
-    def __init__(self, buf: np.ndarray, off: np.ndarray, lower: bool = False):
+    def __init__(self, buf: np.ndarray, off: np.ndarray, lower: bool = False, space: np.ndarray = IS_SPACE):
         n = len(buf)
-        inside = ~IS_SPACE[buf]
+        inside = ~space[buf]
         begins, ends = inside.copy(), inside.copy()
         if n:
             begins[1:] &= ~inside[:-1]
