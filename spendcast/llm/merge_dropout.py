@@ -27,7 +27,7 @@ DROPOUT = 0.1
 SEED = 1
 STREAMS = 2
 _SPACE = "▁"
-_CACHE_MOST = 400_000
+_CACHE_MOST = 1_200_000  # segmentations a worker keeps, some 300 MB
 _SHORT = 48  # symbols up to which a plain row beats a heap
 _NONE = float("inf")
 _CHUNK = re.compile("\n|▁+[^▁\n]*|[^▁\n]+")

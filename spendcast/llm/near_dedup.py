@@ -8,9 +8,11 @@
    that one set alone holds come first in that order and need no list.
 3. Each list links its members to its smallest one; the union-sketch estimate
    filters pairs and the exact Jaccard of the full sets confirms them.
-4. Lists that then still span several components give the remaining pairs across
-   components, by the same filter and check.  So a group of thousands of copies
-   costs its size, not its square, and no link between components is lost.
+   (Step 3 takes both ends of a list, its smallest and its greatest document.)
+4. Documents of lists that then still span several components meet across them by
+   the rarest items of their full sets, an exact bound, and pass the same filter
+   and check.  So a group of thousands of copies costs its size, not its square,
+   and no link between components is lost.
 
 For sets above K shingles ``need`` is statistical: a pair at the threshold misses
 it with a chance of about 3e-8.  Smaller sets are exact.
@@ -115,6 +117,25 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
             .where(DEN * F.col("x") >= NUM * (F.col("n_a") + F.col("n_b") - F.col("x"))).select("a", "b"))
 
 
+def _across(rest: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs of sets of different components that may be similar: both hold one
+    of the n - 0.75 n + 1 rarest items of either.  This bound on the full sets is
+    exact, and a passage that many texts share is not among a text's rarest
+    quarter unless it is nearly all of it."""
+    items = full.join(rest, "set").select("set", "n", "c", F.explode("items").alias("item"))
+    shared = pin(items.groupBy("item").agg(F.count(F.lit(1)).alias("df"), (F.min("c") != F.max("c")).alias("open")).where("df > 1"))
+    ranked = (items.join(shared, "item").groupBy("set", "n", "c")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "item", "open"))).alias("vs")))
+    kept = (F.size("vs") - F.ceil(F.col("n") * NUM / DEN) + 1).cast("int")  # items of one set alone come first
+    lists = pin(ranked.withColumn("kept", kept).where("kept > 0")
+                .select("set", "n", "c", F.explode(F.slice("vs", F.lit(1), F.col("kept"))).alias("e")).where("e.open")
+                .select("set", "n", "c", "e.item"))
+    left = lists.select("item", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    right = lists.select("item", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
+    return (left.join(right, "item").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b"))
+            .select("a", "b").distinct())
+
+
 def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One row per document: key, doc_id, n_shingles, component_id.
 
@@ -136,27 +157,26 @@ def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     lists = pin(sets.join(ranked, "set").withColumn("kept", kept).where("kept > 0")
                 .select("set", "n", "node", "key", F.explode(F.slice("vs", F.lit(1), F.col("kept"))).alias("e"))
                 .select("set", "n", "node", "key", "e.v"))
-    heads = pin(lists.groupBy("v").agg(F.min(F.struct("node", "set", "n")).alias("h"), F.count(F.lit(1)).alias("k"))
-                .where("k > 1").select("v", F.col("h.set").alias("a"), F.col("h.n").alias("n_a")))
+    entry = F.struct("node", "set", "n")
+    heads = pin(lists.groupBy("v").agg(F.min(entry).alias("lo"), F.max(entry).alias("hi"), F.count(F.lit(1)).alias("k"))
+                .where("k > 1").select("v", "lo", "hi"))
     # full sets of the documents that meet another in some list
     asked = lists.join(heads, "v").select("set", "key").distinct()
     full = pin(base.select("key", "text").join(asked, "key").dropDuplicates(["set"]).select("set", "text")
                .mapInArrow(_full_sets(size), "set long, items array<long>"))
-    first = pin(lists.join(heads, "v").where((F.col("set") != F.col("a")) & _sizes_fit("n", "n_a"))
-                .select("a", F.col("set").alias("b")).distinct())
+    ends = lists.join(heads, "v").select("set", "n", F.explode(F.array("lo", "hi")).alias("h"))
+    first = pin(ends.where((F.col("set") != F.col("h.set")) & _sizes_fit("n", "h.n"))
+                .select(F.col("h.set").alias("a"), F.col("set").alias("b")).distinct())
     nodes = sets.select("set", "node")
     as_nodes = lambda links: (links.join(nodes.withColumnsRenamed({"set": "a", "node": "x"}), "a")
                               .join(nodes.withColumnsRenamed({"set": "b", "node": "y"}), "b").select("x", "y"))
     links = pin(as_nodes(_confirmed(first, sets, full)))
     found = components(links)
-    # lists that still span components
-    labelled = lists.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component", "key")
+    # documents of lists that still span components meet again by their full sets
+    labelled = lists.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).select("v", "set", "n", "c")
     open_lists = pin(labelled.groupBy("v").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("v"))
-    rest = pin(labelled.join(open_lists, "v"))
-    left = rest.select("v", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    right = rest.select("v", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    across = (left.join(right, "v").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b"))
-              .select("a", "b").distinct())
+    rest = labelled.join(open_lists, "v").select("set", "n", "c").distinct()
+    across = _across(rest, full)
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = as_nodes(_confirmed(pin(across.join(tried, ["a", "b"], "left_anti")), sets, full))
     every = components(links.unionByName(more))

@@ -1,0 +1 @@
+from tests.conftest import *  # noqa: F401,F403
