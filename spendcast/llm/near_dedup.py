@@ -106,10 +106,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     side = lambda c: sets.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"k_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.array_sort(F.array_union("k_a", "k_b")), 1, K)
-    hits = F.size(F.array_intersect(F.array_intersect("k_a", "k_b"), union))
-    # an estimate from fewer than K values is exact; above, leave NEED's margin
+    common = F.array_intersect("k_a", "k_b")
+    hits, whole = F.size(F.array_intersect(common, union)), F.size(common)
+    # sketches of small sets are the sets and give the exact value; above, leave NEED's margin
     likely = F.when((F.col("n_a") > K) | (F.col("n_b") > K), hits >= F.least(F.lit(NEED), _need(F.least("n_a", "n_b")))).otherwise(
-        DEN * hits >= NUM * (F.col("n_a") + F.col("n_b") - hits))
+        DEN * whole >= NUM * (F.col("n_a") + F.col("n_b") - whole))
     likely_pairs = pin(both.where(likely).select("a", "b", "n_a", "n_b"))
     items = lambda c: full.select(F.col("set").alias(c), F.col("items").alias(f"i_{c}"))
     inter = F.size(F.array_intersect("i_a", "i_b"))
