@@ -100,29 +100,35 @@ def _sizes_fit(a: str, b: str) -> Column:
     return DEN * F.least(a, b) >= NUM * F.greatest(a, b)
 
 
+def _likely() -> Column:
+    """Whether the union-sketch estimate lets a pair (n_a, k_a, n_b, k_b) pass.
+    Sketches of small sets are the sets and give the exact value; above, leave
+    NEED's margin."""
+    union = F.slice(F.array_sort(F.array_union("k_a", "k_b")), 1, K)
+    common = F.array_intersect("k_a", "k_b")
+    hits, whole = F.size(F.array_intersect(common, union)), F.size(common)
+    return F.when((F.col("n_a") > K) | (F.col("n_b") > K), hits >= F.least(F.lit(NEED), _need(F.least("n_a", "n_b")))).otherwise(
+        DEN * whole >= NUM * (F.col("n_a") + F.col("n_b") - whole))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     """Of the candidate pairs (a, b) of sets those that the estimate passes and
     the exact Jaccard confirms."""
     side = lambda c: sets.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"k_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    union = F.slice(F.array_sort(F.array_union("k_a", "k_b")), 1, K)
-    common = F.array_intersect("k_a", "k_b")
-    hits, whole = F.size(F.array_intersect(common, union)), F.size(common)
-    # sketches of small sets are the sets and give the exact value; above, leave NEED's margin
-    likely = F.when((F.col("n_a") > K) | (F.col("n_b") > K), hits >= F.least(F.lit(NEED), _need(F.least("n_a", "n_b")))).otherwise(
-        DEN * whole >= NUM * (F.col("n_a") + F.col("n_b") - whole))
-    likely_pairs = pin(both.where(likely).select("a", "b", "n_a", "n_b"))
+    likely_pairs = pin(both.where(_likely()).select("a", "b", "n_a", "n_b"))
     items = lambda c: full.select(F.col("set").alias(c), F.col("items").alias(f"i_{c}"))
     inter = F.size(F.array_intersect("i_a", "i_b"))
     return (likely_pairs.join(items("b"), "b").join(items("a"), "a").withColumn("x", inter)
             .where(DEN * F.col("x") >= NUM * (F.col("n_a") + F.col("n_b") - F.col("x"))).select("a", "b"))
 
 
-def _across(rest: DataFrame, full: DataFrame) -> DataFrame:
+def _across(rest: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
     """Pairs of sets of different components that may be similar: both hold one
     of the n - 0.75 n + 1 rarest items of either.  This bound on the full sets is
     exact, and a passage that many texts share is not among a text's rarest
-    quarter unless it is nearly all of it."""
+    quarter unless it is nearly all of it.  The join itself applies the estimate,
+    so it puts out only pairs that are likely."""
     items = full.join(rest, "set").select("set", "n", "c", F.explode("items").alias("item"))
     shared = pin(items.groupBy("item").agg(F.count(F.lit(1)).alias("df"), (F.min("c") != F.max("c")).alias("open")).where("df > 1"))
     ranked = (items.join(shared, "item").groupBy("set", "n", "c")
@@ -131,10 +137,12 @@ def _across(rest: DataFrame, full: DataFrame) -> DataFrame:
     lists = pin(ranked.withColumn("kept", kept).where("kept > 0")
                 .select("set", "n", "c", F.explode(F.slice("vs", F.lit(1), F.col("kept"))).alias("e")).where("e.open")
                 .select("set", "n", "c", "e.item"))
-    left = lists.select("item", F.col("set").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    right = lists.select("item", F.col("set").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    return (left.join(right, "item").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b"))
-            .select("a", "b").distinct())
+    spread = lists.groupBy("item").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("item")
+    met = lists.join(pin(spread), "item").join(sets.select("set", "sketch"), "set")
+    left, right = (met.select("item", F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("c").alias(f"c_{x}"),
+                              F.col("sketch").alias(f"k_{x}")) for x in ("a", "b"))
+    fits = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b")
+    return (left.join(right, "item").where(F.when(fits, _likely()).otherwise(F.lit(False))).select("a", "b").distinct())
 
 
 def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -177,7 +185,7 @@ def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     labelled = lists.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).select("v", "set", "n", "c")
     open_lists = pin(labelled.groupBy("v").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("v"))
     rest = labelled.join(open_lists, "v").select("set", "n", "c").distinct()
-    across = _across(rest, full)
+    across = _across(rest, sets, full)
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = as_nodes(_confirmed(pin(across.join(tried, ["a", "b"], "left_anti")), sets, full))
     every = components(links.unionByName(more))
