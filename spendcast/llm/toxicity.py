@@ -78,7 +78,7 @@ def _select(rows, vocabulary_size: int) -> np.ndarray:
     y = np.repeat([r.label for r in rows], [len(r.h) // 8 for r in rows]).astype(int)
     terms, at = np.unique(h, return_inverse=True)
     pos, n = np.bincount(at, y, len(terms)), np.bincount(at, minlength=len(terms)).astype(float)
-    big_n, big_p = float(len(rows)), float(sum(r.label for r in rows))
+    big_n, big_p = float(max(1, len(rows))), float(sum(r.label for r in rows))
     g = np.zeros(len(terms))
     for k, e in ((pos, n * big_p / big_n), (n - pos, n * (1 - big_p / big_n)), (big_p - pos, (big_n - n) * big_p / big_n),
                  (big_n - big_p - n + pos, (big_n - n) * (1 - big_p / big_n))):
