@@ -26,12 +26,12 @@ def spend_by_customer(df: DataFrame) -> DataFrame:
 
 
 def spend_by_month(df: DataFrame) -> DataFrame:
-    return (df.groupBy(month_key().alias("year_month"))
+    return (df.where("order_date is not null").groupBy(month_key().alias("year_month"))
             .agg(F.sum("total").cast("double").alias("total")))
 
 
 def mean_by_month(df: DataFrame) -> DataFrame:
-    return (df.groupBy(month_key().alias("year_month"))
+    return (df.where("order_date is not null").groupBy(month_key().alias("year_month"))
             .agg(exact_mean("total").alias("mean_total")))
 
 
@@ -41,7 +41,7 @@ def customer_mean_in_month(df: DataFrame, m: str) -> DataFrame:
 
 
 def spend_by_customer_month(df: DataFrame) -> DataFrame:
-    return (df.where(_nn()).groupBy("customer_id", month_key().alias("year_month"))
+    return (df.where(_nn() & F.col("order_date").isNotNull()).groupBy("customer_id", month_key().alias("year_month"))
             .agg(F.sum("total").cast("double").alias("total_sum")))
 
 
@@ -195,7 +195,7 @@ def busiest_customer(df: DataFrame) -> DataFrame:
 
 # --- ideas stated in the exploration notes (sessions, repurchase, postage) --
 
-def customer_sessions(df: DataFrame, gap_seconds: int = 300, method: str = "auto") -> DataFrame:
+def customer_sessions(df: DataFrame, gap_seconds: int = 300, method: str = "chunked") -> DataFrame:
     """Per customer, the number of shopping sessions (rows less than
     ``gap_seconds`` apart belong to one session) and whether they returned
     after their first session.  The previous-row timestamp comes from the
@@ -219,7 +219,8 @@ def repurchase_rate(df: DataFrame) -> DataFrame:
     prev = active.select("customer_id", F.date_format(
         F.add_months(F.to_date("year_month", "yyyy-MM"), 1), "yyyy-MM").alias("year_month"),
         F.lit(1).alias("was_active"))
-    joined = prev.join(active.withColumn("is_active", F.lit(1)), ["customer_id", "year_month"], "left")
+    last = active.agg(F.max("year_month").alias("m")).scalar()  # no month beyond the data
+    joined = prev.where(F.col("year_month") <= last).join(active.withColumn("is_active", F.lit(1)), ["customer_id", "year_month"], "left")
     return (joined.groupBy("year_month")
             .agg(F.count(F.lit(1)).alias("n_prev_active"),
                  F.count("is_active").alias("n_returning"))

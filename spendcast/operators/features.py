@@ -27,7 +27,7 @@ from spendcast.functions.stats import SEVEN_STATS, last_value
 from spendcast.operators.labels import TOTAL_THRES, month_label, month_labels
 from spendcast.operators.lookups import first_seen_code
 from spendcast.operators.running import scan_customer
-from spendcast.operators.scan import hot_keys, materialize, prefix_scan
+from spendcast.operators.scan import materialize, prefix_scan
 from spendcast.operators.stats import customer_stats, post_amount
 from spendcast.sources.transactions import order_cols
 
@@ -73,7 +73,7 @@ FEATURE_SPEC = (
 FEATURE_NAMES = tuple(f"{c}-{s}" for c, stats in FEATURE_SPEC for s in stats)
 
 
-def enrich_rows(df: DataFrame, method: str = "auto", post_code: str | None = "POST",
+def enrich_rows(df: DataFrame, method: str = "chunked", post_code: str | None = "POST",
                 pin: bool = True) -> DataFrame:
     """Row-level derivations and ordered scans (see module docstring).
 
@@ -91,20 +91,14 @@ def enrich_rows(df: DataFrame, method: str = "auto", post_code: str | None = "PO
         eu_flag("country").alias("eu"),
         epoch_seconds("order_date").alias("order_ts"),
     )
-    if method == "auto":
-        # one sampling job over the base rows decides all three scans
-        hot = hot_keys(rows, [["customer_id"], ["product_prefix"], ["order_id"]])
-        m_cust, m_prod, m_order = ("chunked" if h else "window" for h in hot)
-    else:
-        m_cust = m_prod = m_order = method
-    rows = scan_customer(rows, CUST_SUMS, DIFFS, order, m_cust)
-    rows = prefix_scan(rows, ["product_prefix"], order, sums=PROD_SUMS, method=m_prod)
-    rows = prefix_scan(rows, ["order_id"], order, sums=ORDER_SUMS, method=m_order)
+    rows = scan_customer(rows, CUST_SUMS, DIFFS, order, method)
+    rows = prefix_scan(rows, ["product_prefix"], order, sums=PROD_SUMS, method=method)
+    rows = prefix_scan(rows, ["order_id"], order, sums=ORDER_SUMS, method=method)
     return materialize(rows) if pin else rows
 
 
 def feature_matrices(df: DataFrame, cuts: list[str], enriched: DataFrame | None = None,
-                     max_rows: int = 20, method: str = "auto") -> DataFrame:
+                     max_rows: int = 20, method: str = "chunked") -> DataFrame:
     """``customer_id, as_of`` plus the 124 features for several history cuts
     in one aggregate: every enriched row is sent to each cut it precedes
     (the cuts are nested, so a row joins at most ``len(cuts)`` of them)."""
@@ -127,7 +121,7 @@ def feature_matrices(df: DataFrame, cuts: list[str], enriched: DataFrame | None
     # one row per (cut, country): bounded by the number of countries per cut
     codes = (first_seen_code(rows, "country", order, by=["as_of"])
              .withColumnRenamed("country", "_last_country"))
-    joined = stats.join(F.broadcast(codes), ["as_of", "_last_country"], "left")
+    joined = stats.join(codes, ["as_of", "_last_country"], "left")
     outlier = ((F.col("_n_rows") < max_rows) & product_anomalous("_min_code")).cast("int")
     feats = {"country_code-last": F.col("country_code"),
              "outlier-last": F.coalesce(outlier, F.lit(0))}
@@ -136,14 +130,14 @@ def feature_matrices(df: DataFrame, cuts: list[str], enriched: DataFrame | None
 
 
 def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
-                   max_rows: int = 20, method: str = "auto") -> DataFrame:
+                   max_rows: int = 20, method: str = "chunked") -> DataFrame:
     """``customer_id`` plus the 124 features over rows before month ``as_of``
     (all features as double)."""
     return feature_matrices(df, [as_of], enriched, max_rows, method).drop("as_of")
 
 
 def training_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | None = None,
-                 max_rows: int = 20, method: str = "auto") -> DataFrame:
+                 max_rows: int = 20, method: str = "chunked") -> DataFrame:
     """Labels of the month before ``m`` with features cut at that month."""
     pm = prev_month(m)
     labels = month_label(df, pm, thr, sort=False).select("customer_id", "year_month", "label")
@@ -152,7 +146,7 @@ def training_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | N
 
 
 def scoring_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | None = None,
-                max_rows: int = 20, method: str = "auto") -> DataFrame:
+                max_rows: int = 20, method: str = "chunked") -> DataFrame:
     """Spine of month ``m`` with features cut at ``m``."""
     labels = month_label(df, m, thr, sort=False).select("customer_id", "year_month", "label")
     feats = feature_matrix(df, m, enriched, max_rows, method)
@@ -160,7 +154,7 @@ def scoring_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | No
 
 
 def build_datasets(df: DataFrame, m: str, thr=TOTAL_THRES, max_rows: int = 20,
-                   method: str = "auto") -> tuple[DataFrame, DataFrame, list[str]]:
+                   method: str = "chunked") -> tuple[DataFrame, DataFrame, list[str]]:
     """Training set (labels of the month before ``m``, features cut there)
     and scoring set (spine of ``m``, features cut at ``m``), and the feature
     names.  The scans run once; both cuts come out of one aggregate and both

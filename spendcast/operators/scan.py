@@ -16,10 +16,10 @@ window per key.  A key with a third of all rows then lands in one task.
    set by the partition count, not by the data) and finish with a window per
    ``(key, chunk)``, whose partitions are at most one range chunk.
 
-``method="auto"`` (default) estimates the largest key from a 1% sample
-(one small job) and takes the chunked plan only when some key may exceed
-``spendcast.scan.hotKeyRows`` rows (default 1,000,000); both plans give
-identical results, the estimate only picks the cheaper one.
+The chunked plan is the default at every size; the window plan stays as the
+check for it in the tests and the bench.  Both have one schema (row numbers are
+``bigint``), and running sums take integer and decimal columns only: a sum of
+doubles would depend on how the rows are cut.
 
 Null semantics follow the pandas originals: a running sum is null where its
 input is null and skips nulls otherwise; a lag is the previous row's value
@@ -43,42 +43,6 @@ def _as_cols(xs: Sequence[Column | str]) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
-HOT_KEY_ROWS = 1_000_000
-SAMPLE_FRACTION = 0.01
-
-
-def has_hot_key(df: DataFrame, keys: Sequence[str], threshold: int | None = None,
-                fraction: float | None = None) -> bool:
-    """Whether some key may hold more than ``threshold`` rows, judged from a
-    seeded sample (only one number reaches the driver)."""
-    conf = df.sparkSession.conf
-    threshold = threshold or int(conf.get("spendcast.scan.hotKeyRows", str(HOT_KEY_ROWS)))
-    fraction = fraction or float(conf.get("spendcast.scan.sampleFraction", str(SAMPLE_FRACTION)))
-    sample = df.select(*[F.col(k) for k in keys] or [F.lit(0).alias("_k")]).sample(fraction=fraction, seed=7)
-    top = sample.groupBy(*(keys or ["_k"])).count().agg(F.max("count")).first()[0]
-    return top is not None and top / fraction > threshold
-
-
-def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], threshold: int | None = None,
-             fraction: float | None = None) -> list[bool]:
-    """:func:`has_hot_key` for several key sets in one sampling job (one
-    ``(key set, key value)`` row per sampled row and key set; one number per
-    key set reaches the driver)."""
-    conf = df.sparkSession.conf
-    threshold = threshold or int(conf.get("spendcast.scan.hotKeyRows", str(HOT_KEY_ROWS)))
-    fraction = fraction or float(conf.get("spendcast.scan.sampleFraction", str(SAMPLE_FRACTION)))
-    cols = sorted({k for ks in key_sets for k in ks})
-    sample = df.select(*cols).sample(fraction=fraction, seed=7)
-    tagged = F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ks"),
-                 F.to_json(F.struct(*[F.col(k) for k in ks] or [F.lit(0).alias("_k")])).alias("kv"))
-        for i, ks in enumerate(key_sets)]))
-    top = (sample.select(tagged.alias("t")).groupBy("t.ks", "t.kv").count()
-           .groupBy("ks").agg(F.max("count").alias("m")).collect())  # one row per key set
-    found = {r["ks"]: r["m"] for r in top}
-    return [found.get(i, 0) / fraction > threshold for i in range(len(key_sets))]
-
-
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (in the session's checkpoint directory): cuts the
     lineage before a result is read many times (medians, model fits)."""
@@ -87,6 +51,8 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def _sum_type(df: DataFrame, col: str):
+    if df.select(col).dtypes[0][1] in ("float", "double"):
+        raise ValueError(f"running sums need an integer or decimal column; cast {col!r} first")
     return df.select(F.sum(col).alias("s")).schema["s"].dataType
 
 
@@ -94,7 +60,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
                 sums: Mapping[str, str] | None = None,
                 lags: Mapping[str, str] | None = None,
                 row_number: str | None = None,
-                method: str = "auto", num_chunks: int | None = None) -> DataFrame:
+                method: str = "chunked", num_chunks: int | None = None) -> DataFrame:
     """Add running sums (``sums``: out -> input column), previous-row values
     (``lags``: out -> input column) and a 1-based ``row_number`` per key.
 
@@ -106,8 +72,6 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     keys = list(keys)
     order = _as_cols(order)
     sum_types = {out: _sum_type(df, src) for out, src in sums.items()}
-    if method == "auto":
-        method = "chunked" if has_hot_key(df, keys) else "window"
     if not keys:
         df = df.withColumn(_ALL, F.lit(0))
         keys = [_ALL]
@@ -122,7 +86,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
                .cast(sum_types[name]) for name, src in sums.items()}
         new.update({name: F.when(key_ok, F.lag(src, 1).over(w)) for name, src in lags.items()})
         if row_number:
-            new[row_number] = F.when(key_ok, F.row_number().over(w))
+            new[row_number] = F.when(key_ok, F.row_number().over(w).cast("long"))
         return df.withColumns(new).drop(_ALL)
     if method != "chunked":
         raise ValueError(f"unknown method {method!r}")
@@ -173,13 +137,13 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def running_sums(df: DataFrame, key: str | Sequence[str], cols: Mapping[str, str],
-                 order: Sequence[Column | str], method: str = "auto") -> DataFrame:
+                 order: Sequence[Column | str], method: str = "chunked") -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     return prefix_scan(df, keys, order, sums=cols, method=method)
 
 
 def global_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                name: str = "rank", method: str = "auto") -> DataFrame:
+                name: str = "rank", method: str = "chunked") -> DataFrame:
     """1-based position of each row within its key in ``order`` (ties broken
     arbitrarily), computed without a single-task window."""
     return prefix_scan(df, keys, order, row_number=name, method=method)

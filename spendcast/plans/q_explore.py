@@ -266,7 +266,8 @@ def q_customer_sessions(spark, sf_dir):
     "COUNT(*) AS n_prev_active, COUNT(c.customer_id) AS n_returning, "
     "CAST(COUNT(c.customer_id) AS DOUBLE) / COUNT(*) AS repurchase_rate "
     "FROM a p LEFT JOIN a c ON p.customer_id = c.customer_id "
-    "AND c.ym = strftime(CAST(p.ym || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') GROUP BY 1",
+    "AND c.ym = strftime(CAST(p.ym || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') "
+    "WHERE strftime(CAST(p.ym || '-01' AS DATE) + INTERVAL 1 MONTH, '%Y-%m') <= (SELECT max(ym) FROM a) GROUP BY 1",
     "a AS (SELECT DISTINCT customer_id, strftime(order_date, '%Y-%m') AS ym FROM transactions "
     "WHERE customer_id IS NOT NULL)"))
 def q_repurchase_rate(spark, sf_dir):

@@ -42,8 +42,10 @@ def with_line_seq(df: DataFrame) -> DataFrame:
     """
     if "line_seq" in df.columns:
         return df
-    w = Window.partitionBy("order_id").orderBy(
-        "product_id", "description", "quantity", "price", "total", "customer_id", "country")
+    cols = ["product_id", "description", "quantity", "price", "total", "customer_id", "country"]
+    # lines without an order are no order: they do not meet in one window partition
+    order = F.coalesce("order_id", F.concat(F.lit("no order "), F.xxhash64(*cols).cast("string")))
+    w = Window.partitionBy(order).orderBy(*cols)
     return df.withColumn("line_seq", F.row_number().over(w))
 
 
@@ -51,6 +53,7 @@ def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
     """Read order lines with a fixed schema (header CSV or Parquet)."""
     if fmt == "csv":
         df = (spark.read.schema(TRANSACTIONS_SCHEMA).option("header", True)
+              .option("escape", '"').option("multiLine", True)
               .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
     else:
         df = spark.read.format(fmt).load(path)

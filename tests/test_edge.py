@@ -7,6 +7,8 @@ import itertools
 
 import pandas as pd
 import pytest
+
+from spendcast.sources.transactions import TRANSACTIONS_SCHEMA, read_transactions
 from pyspark.sql import functions as F
 
 from tests.conftest import make_tx
@@ -209,14 +211,14 @@ def test_importance_tables(spark):
     fi = spark.createDataFrame([("a", 0, 3.0), ("b", 0, 1.0), ("a", 1, 1.0), ("c", 1, 4.0)],
                                "feature string, fold int, importance double")
     mean = {r.feature: r.importance for r in ev.mean_importance(fi).collect()}
-    assert mean == {"a": 2.0, "b": 1.0, "c": 4.0}
+    assert mean == {"a": 2.0, "b": 0.5, "c": 2.0}  # a fold without the feature counts as 0
     outer = {r.feature: (r.fold_1, r.fold_2) for r in ev.combine_importances(fi, "outer").collect()}
     assert outer == {"a": (3.0, 1.0), "b": (1.0, 0.0), "c": (0.0, 4.0)}
     assert [r.feature for r in ev.combine_importances(fi, "inner").collect()] == ["a"]
-    norm = ev.normalize_importance(ev.mean_importance(fi)).orderBy(F.desc("importance")).collect()
-    assert [r.feature for r in norm] == ["c", "a", "b"]
+    norm = ev.normalize_importance(ev.mean_importance(fi)).orderBy(F.desc("importance"), "feature").collect()
+    assert [r.feature for r in norm] == ["a", "c", "b"]
     assert norm[-1].cumulative_importance == pytest.approx(1.0)
-    assert [r.feature for r in ev.top_features(ev.mean_importance(fi), 2).collect()] == ["c", "a"]
+    assert [r.feature for r in ev.top_features(ev.mean_importance(fi), 2).collect()] == ["a", "c"]
 
 
 def test_term_counts_and_quantile(spark):
@@ -230,3 +232,22 @@ def test_term_counts_and_quantile(spark):
     assert terms == {"item": 4}  # "1" is not a word
     q = ex.quantile(ex.spend_by_customer(df), "total", 0.999).collect()[0].quantile
     assert q == pytest.approx(19.97)
+
+
+def test_null_months_and_missing_orders(spark):
+    rows = [("o1", "P", 1, None, 5.0, 1, "EIRE"), ("o2", "P", 1, "2010-01-05 10:00:00", 2.0, 1, "EIRE")]
+    tx = make_tx(spark, [r if r[3] else (*r[:3], "2010-01-01 00:00:00", *r[4:]) for r in rows])
+    tx = tx.withColumn("order_date", F.expr("if(order_id = 'o1', null, order_date)"))
+    assert [r.year_month for r in ex.spend_by_month(tx).collect()] == ["2010-01"]
+    assert [r.year_month for r in ex.mean_by_month(tx).collect()] == ["2010-01"]
+    assert [r.year_month for r in ex.spend_by_customer_month(tx).collect()] == ["2010-01"]
+
+
+def test_csv_with_quotes_and_newlines(spark, tmp_path):
+    path = tmp_path / "lines.csv"
+    names = [f.name for f in TRANSACTIONS_SCHEMA.fields]
+    values = {"order_id": "1", "product_id": "2", "description": '"DOORMAT ""NEW YORK"", LARGE\nTWO"', "quantity": "3",
+              "order_date": "2010-01-05 10:00:00", "price": "1.50", "customer_id": "13085", "country": "EIRE", "total": "4.50"}
+    path.write_text(",".join(names) + "\n" + ",".join(values.get(n, "") for n in names) + "\n")
+    row = read_transactions(spark, str(path)).collect()[0]
+    assert row.description == 'DOORMAT "NEW YORK", LARGE\nTWO' and row.quantity == 3 and row.customer_id == 13085

@@ -1,5 +1,4 @@
-"""Every registered query with oracle SQL matches DuckDB on the smoke data;
-the scan-based ones also with the chunked (skew-safe) plan forced."""
+"""Every registered query with oracle SQL matches DuckDB on the smoke data."""
 
 from __future__ import annotations
 
@@ -11,9 +10,6 @@ from tests.harness import compare, duck
 
 SQL = entry.oracle_sql()
 QUERIES = entry.queries()
-CHUNKED = ["cumsum_customer", "cumsum_product", "cumsum_order", "row_diffs", "spend_quantile",
-           "stratified_folds", "auc_baseline", "feature_matrix"]
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -33,13 +29,3 @@ def test_query_matches_oracle(spark, con, name):
     assert r["cols_match"], r
     assert r["rows"] == r["oracle_rows"], r
     assert r["approx"], r
-
-
-@pytest.mark.parametrize("name", CHUNKED)
-def test_query_matches_oracle_chunked(spark, con, name):
-    spark.conf.set("spendcast.scan.hotKeyRows", "1")  # every key counts as hot
-    try:
-        r = compare(spark, con, name, QUERIES[name], SQL[name], SMOKE)
-    finally:
-        spark.conf.unset("spendcast.scan.hotKeyRows")
-    assert r["rows"] == r["oracle_rows"] and r["approx"], r

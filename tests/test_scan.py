@@ -8,9 +8,10 @@ from decimal import Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
-from spendcast.operators.scan import global_rank, has_hot_key, hot_keys, prefix_scan
+from spendcast.operators.scan import global_rank, prefix_scan
 
 
 def _frame(spark, rows):
@@ -61,11 +62,13 @@ def test_global_rank_single_group(spark):
     assert {(r.v, r.r) for r in ranked.collect()} == {(float(i), i) for i in range(1, 501)}
 
 
-def test_hot_key_detection(spark):
-    df = spark.createDataFrame([("a" if i % 10 else "b", i) for i in range(20000)], "k string, t long")
-    assert has_hot_key(df, ["k"], threshold=1000, fraction=0.2)
-    assert not has_hot_key(df, ["t"], threshold=1000, fraction=0.2)
-    assert hot_keys(df, [["k"], ["t"]], threshold=1000, fraction=0.2) == [True, False]
+def test_one_schema_and_no_double_sums(spark):
+    df = spark.createDataFrame([("a", i, i, float(i)) for i in range(20)], "k string, t long, v long, x double")
+    types = [dict(prefix_scan(df, ["k"], [F.col("t")], row_number="rn", method=m).dtypes)["rn"] for m in ("window", "chunked")]
+    assert types == ["bigint", "bigint"]
+    with pytest.raises(ValueError):
+        prefix_scan(df, ["k"], [F.col("t")], sums={"s": "x"})
+
 
 
 @settings(max_examples=8, deadline=None)
