@@ -36,25 +36,33 @@ def _let(value: Column, body) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")
+    trimmed = F.btrim(text, F.lit(SPACES))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS + "+"))
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more."""
-    starts = F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))), lambda w, i: F.struct(
-        F.xxhash64(w, F.element_at(words, i + 2), F.element_at(words, i + 3)).alias("h"), i.alias("i")))
+def _windows(words: Column) -> Column:
+    """Hashes of the 3-word windows, in order."""
+    return F.transform(F.slice(words, 1, F.greatest(F.size(words) - 2, F.lit(0))),
+                       lambda w, i: F.xxhash64(w, F.element_at(words, i + 2), F.element_at(words, i + 3)))
+
+
+def _repeat_words(windows: Column) -> Column:
+    """Words inside 3-word windows that occur twice or more.  Only texts whose
+    windows are not all distinct are sorted."""
+    starts = F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     twice = _let(F.sort_array(starts), lambda s: F.filter(s, lambda x, k:
                  (F.get(s, k - 1)["h"] == x["h"]) | (F.get(s, k + 1)["h"] == x["h"])))
     places = F.sort_array(F.transform(twice, lambda x: x["i"]))
-    return _let(places, lambda p: F.aggregate(
+    covered = _let(places, lambda p: F.aggregate(
         p, F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda acc, i: F.struct((acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n"), i.alias("last")),
         lambda acc: acc["n"]))
+    return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(covered)
 
 
 def base_columns(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, and the character classes and words behind them."""
+    """doc_id, lang, t (the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    base_failed, and the character classes behind them."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), text.alias("t"))
@@ -64,14 +72,14 @@ def base_columns(docs: DataFrame) -> DataFrame:
     lines = _let(F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
                  lambda x: F.size(x) - F.size(F.array_distinct(x)))
     d = d.select(
-        "doc_id", "lang", "words", F.size("words").cast("long").alias("n_words"), F.length("t").cast("long").alias("chars"),
+        "doc_id", "lang", "t", _windows(F.col("words")).alias("windows"), F.size("words").cast("long").alias("n_words"), F.length("t").cast("long").alias("chars"),
         (F.length("t") - F.length("rest")).cast("long").alias("c_letter"), without(SPACES).alias("c_space"),
         without("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("c_upper"), without("0123456789").alias("c_digit"),
         without(SYMBOLS).alias("c_symbol"), without(_PUNCTUATION).alias("c_punct"), lines.cast("long").alias("n_dup_lines"))
     named = [c for c in CLASSES if c != "c_other"]
     other = F.col("chars") - sum((F.col(c) for c in named[1:]), F.col(named[0]))
     d = d.withColumn("c_other", other).withColumn("word_chars", F.col("chars") - F.col("c_space"))
-    d = d.withColumn("n_symbols", F.col("c_symbol")).withColumn("n_repeat_words", _repeat_words(F.col("words")).cast("long"))
+    d = d.withColumn("n_symbols", F.col("c_symbol")).withColumn("n_repeat_words", _repeat_words(F.col("windows")).cast("long")).drop("windows")
     failed = (F.col("n_words") < LEAST_BASE_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return d.withColumn("base_failed", failed)
 
@@ -107,7 +115,13 @@ def references(docs: DataFrame) -> DataFrame:
          .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "q"))).alias("q_words")))
     return pin(shares.join(q, shares["lang"].eqNullSafe(q["lang"]), "left").select(
         shares["lang"].alias("ref"), "q_chars", F.coalesce("q_words", F.array().cast("array<struct<r:int,word:string,q:double>>")).alias("q_words"))
-        .withColumn("q_list", F.col("q_words")["word"]).coalesce(1))
+        .withColumn("q_pattern", _pattern(F.col("q_words")["word"])).coalesce(1))
+
+
+def _pattern(words: Column) -> Column:
+    """Regular expression of whole words that are one of ``words``; null for none."""
+    literal = F.transform(words, lambda w: F.regexp_replace(w, r"[!-/:-@\[-`{-~]", r"\\$0"))
+    return F.when(F.size(words) > 0, F.concat(F.lit(r"(?<!\S)(?:"), F.array_join(literal, "|"), F.lit(r")(?!\S)")))
 
 
 def _js(p: Column, q: Column) -> Column:
@@ -132,9 +146,9 @@ def distances(docs: DataFrame) -> DataFrame:
     d = d.join(F.broadcast(refs), F.col("known").eqNullSafe(F.col("ref")), "left")
     p = F.array(*[F.struct((F.col(c) / F.greatest("chars", F.lit(1))).alias("p"), F.col("q_chars")[i].alias("q"))
                   for i, c in enumerate(CLASSES)])
-    d = d.withColumn("hits", F.filter("words", lambda w: F.array_contains("q_list", w)))
-    shares = F.transform("q_words", lambda x: F.struct(
-        (F.size(F.filter("hits", lambda h: h == x["word"])) / F.greatest("n_words", F.lit(1))).alias("p"), x["q"].alias("q")))
+    d = d.withColumn("hits", F.regexp_extract_all("t", F.col("q_pattern"), F.lit(0)))
+    shares = _let(F.col("hits"), lambda hits: F.transform("q_words", lambda x: F.struct(
+        ((F.size(hits) - F.size(F.array_remove(hits, x["word"]))) / F.greatest("n_words", F.lit(1))).alias("p"), x["q"].alias("q"))))
     rest = F.struct((1 - F.size("hits") / F.greatest("n_words", F.lit(1))).alias("p"),
                     (1 - F.aggregate("q_words", F.lit(0.0), lambda a, x: a + x["q"])).alias("q"))
     judged_words = (F.col("n_words") >= LEAST_WORDS) & (F.size("q_words") > 0)
