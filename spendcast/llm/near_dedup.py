@@ -37,6 +37,8 @@ K = 64
 NEED = 28
 #: Similarity as a fraction, 75 / 100.
 NUM, DEN = 75, 100
+#: Bytes of text hashed at once; bounds a worker's memory, not its results.
+SLICE = 1 << 19
 
 
 def _sets(words: Words, size: int):
@@ -61,7 +63,7 @@ def _lists(h: np.ndarray, edges: np.ndarray) -> pa.Array:
 def _sketches(size: int, k: int):
     def run(batches):
         for batch in batches:
-            for lo, hi, buf, off in text_slices(batch.column("text")):
+            for lo, hi, buf, off in text_slices(batch.column("text"), SLICE):
                 h, row = _sets(Words(buf, off, lower=True), size)
                 edges = np.searchsorted(row, np.arange(hi - lo + 1))
                 n = np.diff(edges)
@@ -82,7 +84,7 @@ def _sketches(size: int, k: int):
 def _full_sets(size: int):
     def run(batches):
         for batch in batches:
-            for lo, hi, buf, off in text_slices(batch.column("text")):
+            for lo, hi, buf, off in text_slices(batch.column("text"), SLICE):
                 h, row = _sets(Words(buf, off, lower=True), size)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("set").slice(lo, hi - lo), _lists(h, np.searchsorted(row, np.arange(hi - lo + 1)))],
