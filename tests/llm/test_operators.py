@@ -131,6 +131,25 @@ def test_quality_rules_base(spark, texts):
     assert quality_rules.judge(_empty(spark)).count() == 0
 
 
+def test_quality_rules_word_distance(spark):
+    """Common words are whole words, whatever signs they hold."""
+    import math
+    words = ["a.b", "$", "|", "(x", "x)", "\\Q", "\\E", "[a-z]", "^", "é", "\U0001f600", "\u00a0", "-", "*", "the", "the."]
+    texts = [(i, " ".join((words * 20)[i * 7:i * 7 + 130 + i] + ["thethe", "a-b"] * i)) for i in range(4)] + [(9, None)]
+    split = {i: re.findall("[^\x20\x09-\x0D]+", t or "") for i, t in texts}
+    counts = Counter(w for ws in split.values() for w in ws)
+    common = sorted(counts, key=lambda w: (-counts[w], w.encode()))[:quality_rules.COMMON_WORDS]
+    q = [counts[w] / sum(counts.values()) for w in common]
+    term = lambda x, m: x * math.log2(x / m) if x > 0 else 0.0
+    for r in quality_rules.judge(_frame(spark, texts)).collect():
+        ws, want = split[r.doc_id], 0.0
+        if len(ws) >= quality_rules.LEAST_WORDS:
+            p = [ws.count(w) / len(ws) for w in common]
+            pairs = zip(p + [1 - sum(p)], q + [1 - sum(q)])
+            want = math.sqrt(max(0.0, sum(term(x, (x + y) / 2) + term(y, (x + y) / 2) for x, y in pairs) / 2))
+        assert abs(r.word_distance - want) < 1e-6
+
+
 def test_packing(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
