@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spendcast.functions.periods import day_key, in_month, month_key
 from spendcast.functions.stats import exact_mean
-from spendcast.operators.scan import global_rank
+from spendcast.operators.scan import prefix_scan
 
 def _nn():
     return F.col("customer_id").isNotNull()
@@ -97,17 +97,18 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 def quantile(df: DataFrame, col: str, q: float, name: str = "quantile") -> DataFrame:
     """Exact quantile with linear interpolation (one row).
 
-    No single task holds the values: positions come from a distributed rank
-    (:func:`global_rank`), and only the two rows around ``q * (n - 1)`` are
-    kept.
+    No single task holds the values: they collapse to counts per distinct
+    value, the skew-safe scan sums the counts, and only the one or two values
+    around position ``q * (n - 1)`` are kept.
     """
     vals = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("v"))
     n = vals.agg(F.count(F.lit(1))).scalar()  # scalar subquery, run once
     pos = F.lit(q) * (n - 1)
-    ranked = global_rank(vals, [], [F.col("v")], name="r")
-    near = (ranked.where((F.col("r") - 1 == F.floor(pos)) | (F.col("r") - 1 == F.ceil(pos)))
-            .select("v", "r", pos.alias("pos")))
-    lo, hi = F.min_by("v", "r"), F.max_by("v", "r")
+    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("k"))
+    scanned = prefix_scan(counts, [], [F.col("v")], sums={"upto": "k"})
+    holds = lambda i: (F.col("upto") - F.col("k") <= i) & (i < F.col("upto"))
+    near = scanned.where(holds(F.floor(pos)) | holds(F.ceil(pos))).select("v", pos.alias("pos"))
+    lo, hi = F.min("v"), F.max("v")
     frac = F.first("pos") - F.floor(F.first("pos"))
     return near.agg((lo + (hi - lo) * frac).alias(name))
 

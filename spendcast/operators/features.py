@@ -17,6 +17,8 @@ Plan shape:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,6 +147,16 @@ def training_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | N
     return labels.join(feats, "customer_id", "left")
 
 
+def training_sets(df: DataFrame, months: Sequence[str], thr=TOTAL_THRES, enriched: DataFrame | None = None,
+                  max_rows: int = 20, method: str = "chunked") -> DataFrame:
+    """``training_set`` of several months, one below the other: each row's
+    features are cut at the month of its label.  The scans run once."""
+    labelled = sorted({prev_month(m) for m in months})
+    labels = month_labels(df, labelled, thr).select("customer_id", "year_month", "label")
+    feats = feature_matrices(df, labelled, enriched, max_rows, method).withColumnRenamed("as_of", "year_month")
+    return labels.join(feats, ["customer_id", "year_month"], "left")
+
+
 def scoring_set(df: DataFrame, m: str, thr=TOTAL_THRES, enriched: DataFrame | None = None,
                 max_rows: int = 20, method: str = "chunked") -> DataFrame:
     """Spine of month ``m`` with features cut at ``m``."""

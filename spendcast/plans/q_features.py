@@ -17,7 +17,7 @@ from spendcast.functions.periods import epoch_seconds, history_before, prev_mont
 from spendcast.operators import features as fe
 from spendcast.operators import stats as st
 from spendcast.operators.running import row_diffs, running_sums
-from spendcast.plans.base import MAX_ROWS, MONTH, THR, register, tx, with_tx
+from spendcast.plans.base import MAX_ROWS, MONTH, PREV_MONTH, THR, register, tx, with_tx
 from spendcast.sources.transactions import order_cols
 
 ORD = "order_date, order_id, line_seq"
@@ -248,6 +248,18 @@ def q_training_set(spark, sf_dir):
     return round_moments(fe.training_set(df, MONTH, THR, enriched, MAX_ROWS))
 
 
+def _months_sql(m: str, sfx: str) -> str:
+    return (f"SELECT l.*, f.* EXCLUDE (customer_id) FROM ({_LABEL.format(m=m, thr=THR)}) l "
+            f"LEFT JOIN feats{sfx} f ON l.customer_id = f.customer_id")
+
+
+@register("training_set_months", with_tx(
+    f"{_months_sql(prev_month(MONTH), '_a')} UNION ALL {_months_sql(prev_month(PREV_MONTH), '_b')}",
+    feature_sql(prev_month(MONTH), sfx="_a") + ",\n" + feature_sql(prev_month(PREV_MONTH), sfx="_b")))
+def q_training_set_months(spark, sf_dir):
+    return round_moments(fe.training_sets(tx(spark, sf_dir), [PREV_MONTH, MONTH], THR, max_rows=MAX_ROWS))
+
+
 @register("scoring_set", with_tx(
     f"SELECT l.*, f.* EXCLUDE (customer_id) FROM ({_LABEL.format(m=MONTH, thr=THR)}) l "
     f"LEFT JOIN feats f ON l.customer_id = f.customer_id", feature_sql(MONTH)))

@@ -172,6 +172,16 @@ def test_medians_and_impute(spark):
     assert (r.a, r.b) == (6.0, 0.0)
 
 
+def test_median_and_quantile_of_tied_values(spark):
+    rows = spark.range(1000).select(F.when(F.col("id") < 990, 7.0).otherwise(F.col("id").cast("double")).alias("x"),
+                                    (F.col("id") % 2).cast("double").alias("y"))
+    assert {r.feature: r.median for r in pr.fit_medians(rows, ["x", "y"]).collect()} == {"x": 7.0, "y": 0.5}
+    assert ex.quantile(rows, "x", 0.5).first()[0] == 7.0
+    assert ex.quantile(rows, "x", 0.995).first()[0] == pytest.approx(994.005)
+    assert ex.quantile(rows, "y", 0.5).first()[0] == 0.5
+    assert ex.quantile(rows.where("x < 0"), "x", 0.5).first()[0] is None
+
+
 def test_label_encode_unseen_test_value(spark):
     tr = spark.createDataFrame([("b",), ("a",)], "c string")
     te = spark.createDataFrame([("z",), ("a",)], "c string")

@@ -4,10 +4,12 @@ shape."""
 
 from __future__ import annotations
 
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import functions as F
 
 from tests.conftest import SMOKE
 from spendcast.functions.periods import history_before, month_start
+from spendcast.operators import evaluate as ev
 from spendcast.operators import features as fe
 from spendcast.operators import model as mo
 from spendcast.operators import prepare as pr
@@ -65,3 +67,23 @@ def test_oof_early_stopping(spark):
                                            max_iter=4, max_depth=2, validation_col="_is_val"))
     assert oof.count() == train.count()
     assert test_mean.where("probability < 0 OR probability > 1").count() == 0
+
+
+def _random_labels(spark):
+    return spark.range(400).select(
+        F.col("id").alias("customer_id"), F.rand(5).alias("a"), F.rand(6).alias("b"),
+        (F.rand(7) > 0.5).cast("int").alias("label"))
+
+
+def test_early_stopping_does_not_learn_the_held_out_fold(spark):
+    rows = _random_labels(spark)
+    est = mo.default_estimator(max_iter=10, max_depth=4)  # without a validation column of its own
+    oof, _, _ = mo.oof_predict(rows, rows, ["a", "b"], est, k=3, early_stopping=True)
+    assert 0.35 < ev.auc(oof).first().auc < 0.65
+
+
+def test_other_estimators_fit_the_slot(spark):
+    rows = _random_labels(spark)
+    for est in (RandomForestClassifier(numTrees=3, seed=1), LogisticRegression(maxIter=5)):
+        preds, fi = mo.fit_predict(rows, rows, ["a", "b"], est)
+        assert preds.count() == 400 and {r.feature for r in fi.collect()} == {"a", "b"}
