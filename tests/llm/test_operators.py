@@ -243,6 +243,21 @@ def test_toxicity(spark):
     assert toxicity.score(_empty(spark), toxicity.train(_empty(spark), labels.limit(0))).count() == 0
 
 
+def test_toxicity_searches_all_terms(spark):
+    """Texts without a telling term still find their neighbours."""
+    letters = "abcdefg"
+    texts = [(i, f"x{letters[i % 7]} y{letters[i % 7]} z{letters[i % 7]}{letters[i // 7 % 7]}{'q' * (i // 49)}") for i in range(70)]
+    labels = spark.createDataFrame([(i, int(i % 7 == 0)) for i in range(70)], "doc_id long, toxic int")
+    docs = _frame(spark, texts)
+    model = toxicity.train(docs, labels, terms=0)
+    rows = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    learned = [t for i, t in texts if zlib.crc32(str(i).encode()) % 5]
+    assert len(model["vocabulary"]) == len({w for t in learned for w in t.split()})
+    for i in range(70):
+        assert rows[i].predicted == int(i % 7 == 0)
+        assert {e.doc_id % 7 for e in rows[i].evidence} == {i % 7}
+
+
 def test_url_rules_and_templates(spark):
     urls = ["http://A.ORG/x", "https://b.example.org/es/1", "http://example.org/en/17?q", "http://example.org/en/2", "ftp://q.com/fr/9#t",
             "http://com/de/", "http://x.net", None, "no scheme", "http://notorg/x", "http://spam.net/buy/1", "http://org"]
