@@ -1,10 +1,11 @@
 """SentencePiece (BPE) encoding with seeded merge-dropout, and decoding.
 
 Merges come from an agenda, best score first, then leftmost; each candidate is
-skipped by a hash keyed with seed, stream, word and place of the merge, so a seed always gives
-the same segmentation and other seeds give others.  A document's stream, one of
-STREAMS, is a keyed hash of its id, which lets a worker reuse the segmentation of
-frequent words.  Every segmentation decodes to the text.
+skipped by a hash keyed with seed, document, place of the chunk and place of the
+merge, so a seed always gives the same segmentation, other seeds give others, and
+a word that comes again is cut anew.  A worker keeps the merge candidates of
+frequent chunks, and what each set of skipped candidates leads to.  Every
+segmentation decodes to the text.
 """
 
 from __future__ import annotations
@@ -21,17 +22,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text
+from .textnum import U, mix
 
 MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
-STREAMS = 2
 _SPACE = "▁"
-_CACHE_MOST = 1_200_000  # segmentations a worker keeps, some 300 MB
+_CACHE_MOST = 400_000  # segmentations, and eights of candidates, that a worker keeps, some 300 MB
 _SHORT = 48  # symbols up to which a plain row beats a heap
 _NONE = float("inf")
 _CHUNK = re.compile("\n|▁+[^▁\n]*|[^▁\n]+")
 _MASK = (1 << 64) - 1
+_ODDS_BITS = 16  # of the dropout, as a binary fraction
 
 
 class Pieces:
@@ -52,6 +54,7 @@ class Pieces:
             else:
                 self.merges[piece] = (-sp.get_score(i), i)
                 self.bytes.append(piece.replace(_SPACE, " ").encode())
+        self.longest = max(map(len, self.merges), default=0)
         #: Neighbouring characters of all pieces; no merge reaches across others.
         self.inside = {piece[i:i + 2] for piece in self.merges for i in range(len(piece) - 1)}
 
@@ -65,68 +68,68 @@ class Pieces:
         out.append(chunk[lo:])
         return out
 
-    def segment(self, chunk: str, key: int, skip: bytes) -> list[int]:
-        """Ids of a chunk that no piece reaches across.  ``skip``: 65,536 keyed
-        hash bits; a candidate reads the bit that chunk, place and piece choose."""
-        symbols = list(chunk)
-        ids = (self._short if len(symbols) <= _SHORT else self._long)(symbols, key, skip)
+    def candidates(self, chunk: str) -> list[tuple[int, int, float]]:
+        """Merges that the chunk may see: first and last place, cost."""
+        get, n, most = self.merges.get, len(chunk), self.longest
         out = []
-        for s, i in zip(symbols, ids):
-            if s:
-                out.append(i) if i >= 0 else out.extend([self.byte[b] for b in s.encode()])
+        for i in range(n - 1):
+            for j in range(i + 2, min(n, i + most) + 1):
+                if (m := get(chunk[i:j])) is not None:
+                    out.append((i, j, m[0]))
+        return out
+
+    def segment(self, chunk: str, candidates, skipped: int) -> list[int]:
+        """Ids of a chunk; bit k of ``skipped`` takes candidate k out."""
+        if skipped:
+            candidates = [c for k, c in enumerate(candidates) if not skipped >> k & 1]
+        live = {(i, j): cost for i, j, cost in candidates}
+        edges = (self._short if len(chunk) <= _SHORT else self._long)(len(chunk), live)
+        out, get = [], self.merges.get
+        for i, j in zip(edges, edges[1:]):
+            s = chunk[i:j]
+            m = get(s)
+            out.append(m[1]) if m else out.extend([self.byte[b] for b in s.encode()])
         return out
 
-    def _short(self, symbols: list[str], key: int, skip: bytes) -> list[int]:
+    @staticmethod
+    def _short(n: int, live: dict) -> list[int]:
         """The agenda as a row of costs: its least, leftmost entry is next."""
-        get = self.merges.get
-        none = (_NONE, -1)
-        at = list(range(len(symbols)))
-        costs = []
-        for i in at[:-1]:
-            cost, m = get(symbols[i] + symbols[i + 1], none)
-            costs.append(_NONE if skip[key + i * 40503 + m * 30011 & 65535] else cost)
+        get, edges = live.get, list(range(n + 1))
+        costs = [get((i, i + 2), _NONE) for i in range(n - 1)]
         costs.append(_NONE)  # behind the last symbol
         while (cost := min(costs)) != _NONE:
             i = costs.index(cost)
-            s = symbols[i] = symbols[i] + symbols.pop(i + 1)
-            del at[i + 1], costs[i + 1]
-            if i + 1 < len(symbols):
-                c, m = get(s + symbols[i + 1], none)
-                costs[i] = _NONE if skip[key + at[i] * 40503 + m * 30011 & 65535] else c
-            else:
-                costs[i] = _NONE
+            del edges[i + 1], costs[i + 1]
+            costs[i] = get((edges[i], edges[i + 2]), _NONE) if i + 2 < len(edges) else _NONE
             if i:
-                c, m = get(symbols[i - 1] + s, none)
-                costs[i - 1] = _NONE if skip[key + at[i - 1] * 40503 + m * 30011 & 65535] else c
-        return [get(s, none)[1] for s in symbols]
+                costs[i - 1] = get((edges[i - 1], edges[i + 1]), _NONE)
+        return edges
 
-    def _long(self, symbols: list[str], key: int, skip: bytes) -> list[int]:
+    @staticmethod
+    def _long(n: int, live: dict) -> list[int]:
         """The agenda as a heap; the same result in n log n steps."""
-        get, n = self.merges.get, len(symbols)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        agenda = []
+        before, after = list(range(-1, n)), list(range(1, n + 2))  # of the symbol that begins at a place
+        agenda = [(cost, i, i + 1, j) for (i, j), cost in live.items() if j == i + 2]
+        heapq.heapify(agenda)
+        gone = bytearray(n + 1)
 
-        def offer(i, j):
-            piece = symbols[i] + symbols[j]
-            cost, m = get(piece, (_NONE, -1))
-            if cost != _NONE and not skip[key + i * 40503 + m * 30011 & 65535]:
-                heapq.heappush(agenda, (cost, i, piece))
+        def offer(i):
+            j = after[i]
+            if j < n and (cost := live.get((i, after[j]))) is not None:
+                heapq.heappush(agenda, (cost, i, j, after[j]))
 
-        for i in range(n - 1):
-            offer(i, i + 1)
         while agenda:
-            _, i, piece = heapq.heappop(agenda)
-            j = after[i]
-            if not symbols[i] or j >= n or symbols[i] + symbols[j] != piece:
+            _, i, j, k = heapq.heappop(agenda)
+            if gone[i] or gone[j] or after[i] != j or after[j] != k:
                 continue
-            symbols[i], symbols[j] = piece, ""
-            k = after[i] = after[j]
+            gone[j] = 1
+            after[i] = k
             if k < n:
                 before[k] = i
-                offer(i, k)
+                offer(i)
             if before[i] >= 0:
-                offer(before[i], i)
-        return [get(s, (0, -1))[1] for s in symbols]
+                offer(before[i])
+        return [i for i in range(n) if not gone[i]] + [n]
 
     def decode(self, ids) -> str:
         """The text of ids; the space put before it is taken off."""
@@ -137,44 +140,79 @@ class Pieces:
 class Encoder:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.pieces, self.seed = Pieces(path), seed
-        bits = np.frombuffer(hashlib.shake_256(f"merge-dropout {seed}".encode()).digest(4 * 65536), "<u4")
-        self.skip = (bits < dropout * 2.0**32).astype(np.uint8).tobytes()
+        self.odds = round(dropout * (1 << _ODDS_BITS))
         self.marks = np.array([self.pieces.byte[b] for b in _SPACE.encode()], "<u4").tobytes()
-        self.cache: list[dict[str, tuple[bytes, bytes]]] = [{} for _ in range(STREAMS)]
+        self.known: dict[str, tuple] = {}  # chunk -> mask, its atoms, results by skipped candidates
+        self.kept = 0
+
+    def bits(self, keys: np.ndarray) -> np.ndarray:
+        """64 independent bits for every key, each set with the odds of a skip."""
+        out = np.zeros(len(keys), np.uint64)
+        if self.odds >> _ODDS_BITS:
+            return ~out
+        with np.errstate(over="ignore"):
+            for k in range(_ODDS_BITS):
+                if not self.odds >> k:
+                    break
+                r = mix(keys + U((k + 1) * 0x9E3779B97F4A7C15 & _MASK))
+                out = out | r if self.odds >> k & 1 else out & r
+        return out
 
-    def _chunk(self, chunk: str, stream: int) -> tuple[bytes, bytes]:
-        cache = self.cache[stream]
-        if len(cache) >= _CACHE_MOST // STREAMS:
-            cache.clear()
+    def _chunk(self, chunk: str) -> tuple:
         # words that end in a letter rarely come apart
         atoms = [chunk] if chunk[-1].isalpha() else self.pieces.atoms(chunk)
-        if len(atoms) > 1:
-            parts = [cache.get(a) or self._chunk(a, stream) for a in atoms]
-            found = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-        else:
-            key = zlib.crc32(chunk.encode(), self.seed * 1000003 + stream & 0xFFFFFFFF)
-            ids = self.pieces.segment(chunk, key, self.skip)
-            found = array("I", ids).tobytes(), b"".join([self.pieces.bytes[i] for i in ids])
-        cache[chunk] = found
+        parts, n = [], 0
+        for a in atoms:
+            c = self.pieces.candidates(a)
+            parts.append((a, c, n, (1 << len(c)) - 1))
+            n += len(c)
+        self.kept += 1 + n // 8
+        found = self.known[chunk] = (1 << n) - 1, parts, {}
+        return found
+
+    def _segment(self, known: tuple, skipped: int) -> tuple[bytes, bytes]:
+        ids = []
+        for atom, candidates, at, mask in known[1]:
+            ids += self.pieces.segment(atom, candidates, skipped >> at & mask)
+        found = array("I", ids).tobytes(), b"".join([self.pieces.bytes[i] for i in ids])
+        if known[0] <= _MASK:  # others hardly ever come again
+            known[2][skipped] = found
+            self.kept += 1
         return found
 
     def stream_of(self, doc_id) -> int:
-        return zlib.crc32(str(doc_id).encode(), self.seed & 0xFFFFFFFF) % STREAMS
+        """Every document has a stream of its own: 64 bits of a keyed hash of its id."""
+        return int.from_bytes(hashlib.blake2b(f"{self.seed} {doc_id}".encode(), digest_size=8).digest(), "little")
 
-    def __call__(self, text: str, stream: int) -> tuple[bytes, bytes]:
+    def __call__(self, text: str, doc_id) -> tuple[bytes, bytes]:
         """Ids as little-endian 32-bit bytes, and what they decode to."""
         if not text:
             return b"", b""
-        ids, back, get = [], [], self.cache[stream].get
+        chunks = []
         for k, part in enumerate(text.split(_SPACE)):  # a mark in the text itself goes by its bytes
             if k:
+                chunks.append(None)
+            part = part.replace(" ", _SPACE) if k else _SPACE + part.replace(" ", _SPACE)
+            chunks += _CHUNK.findall(part)
+        if self.kept >= _CACHE_MOST:
+            self.known.clear()
+            self.kept = 0
+        keys = mix(np.arange(len(chunks), dtype=np.uint64) * U(0xD6E8FEB86659FD93) + U(self.stream_of(doc_id)))
+        ids, back, get = [], [], self.known.get
+        for place, (chunk, skipped) in enumerate(zip(chunks, self.bits(keys).tolist())):
+            if chunk is None:
                 ids.append(self.marks)
                 back.append(_SPACE.encode())
-            part = part.replace(" ", _SPACE) if k else _SPACE + part.replace(" ", _SPACE)
-            for chunk in _CHUNK.findall(part):
-                a, b = get(chunk) or self._chunk(chunk, stream)
-                ids.append(a)
-                back.append(b)
+                continue
+            known = get(chunk) or self._chunk(chunk)
+            mask = known[0]
+            if mask > _MASK:  # more candidates than bits
+                more = np.arange(1, (mask.bit_length() + 63) // 64, dtype=np.uint64) * U(0xA0761D6478BD642F)
+                skipped |= int.from_bytes(self.bits(mix(keys[place] + more)).astype("<u8").tobytes(), "little") << 64
+            skipped &= mask
+            a, b = known[2].get(skipped) or self._segment(known, skipped)
+            ids.append(a)
+            back.append(b)
         return b"".join(ids), b"".join(back)[1:]
 
 
@@ -200,7 +238,7 @@ def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: s
     def run(batches):
         enc = encoder(model, dropout, seed)
         for batch in batches:
-            ids = [np.frombuffer(enc(t, enc.stream_of(d))[0], "<u4").astype(np.int32)
+            ids = [np.frombuffer(enc(t, d)[0], "<u4").astype(np.int32)
                    for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -219,7 +257,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
 
 
 def digests(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: str = MODEL) -> DataFrame:
-    """One row per document: doc_id, stream, n_ids, ids_crc32 (unsigned, of the
+    """One row per document: doc_id, stream (31 bits of it), n_ids, ids_crc32 (unsigned, of the
     little-endian unsigned 32-bit ids), decoded_sha256 and whether the ids decode
     to the text."""
     def run(batches):
@@ -227,9 +265,8 @@ def digests(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model:
         for batch in batches:
             out = []
             for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                s = enc.stream_of(d)
-                ids, back = enc(t, s)
-                out.append((s, len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back).hexdigest(), back == t.encode()))
+                ids, back = enc(t, d)
+                out.append((enc.stream_of(d) >> 33, len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back).hexdigest(), back == t.encode()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")] + [pa.array([o[k] for o in out], t) for k, t in enumerate(
                     (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))],

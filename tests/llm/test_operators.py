@@ -292,6 +292,33 @@ def test_merge_dropout(spark, texts):
     assert merge_dropout.digests(_empty(spark)).count() == 0
 
 
+def test_merge_dropout_cuts_each_occurrence_anew(spark):
+    texts = [(i, " ".join(["understanding"] * 200)) for i in range(3)]
+    rows = {r.doc_id: r.ids for r in merge_dropout.encode(_frame(spark, texts)).collect()}
+    assert rows[0] != rows[1] != rows[2] != rows[0]
+    pieces = merge_dropout.encoder().pieces
+    for ids in rows.values():
+        cuts, word = Counter(), []
+        for i in [*ids, None]:
+            if word and (i is None or pieces.bytes[i][:1] == b" "):
+                cuts[tuple(word)] += 1
+                word = []
+            word.append(i)
+        assert len(cuts) > 5
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_merge_agendas_agree(dropout):
+    import public_tokenizers
+    enc = merge_dropout.Encoder(public_tokenizers.path(merge_dropout.MODEL), dropout)
+    rng = random.Random(4)
+    for _ in range(50):
+        chunk = "".join(rng.choice("aeinrst") for _ in range(rng.randint(2, 60)))
+        c = enc.pieces.candidates(chunk)
+        live = {(i, j): cost for i, j, cost in c if rng.random() >= dropout}
+        assert enc.pieces._short(len(chunk), live) == enc.pieces._long(len(chunk), live)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
