@@ -274,6 +274,16 @@ def test_url_rules_and_templates(spark):
     assert url_filters.judge(pages.limit(0), labels).count() == 0
 
 
+def test_url_tree_rejects_a_bad_directory(spark):
+    name = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:03d}")
+    urls = [(f"http://h.com/news/{name(i % 10)}/x", 1) for i in range(10000)] + [(f"http://h.com/spam/{name(i % 200)}/x", 0) for i in range(600)]
+    pages = spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)] + [(20000, "http://h.com/spam/new/x")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, g) for i, (_, g) in enumerate(urls)], "page_id long, good int")
+    rows = {r.page_id: r.verdict for r in url_filters.judge(pages, labels, rules=[]).collect()}
+    assert len(rows) == len(urls) + 1 and rows[20000] == "block"
+    assert all(rows[i] == ("allow" if g else "block") for i, (_, g) in enumerate(urls))
+
+
 def test_merge_dropout(spark, texts):
     import public_tokenizers
     import sentencepiece
