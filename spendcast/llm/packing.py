@@ -135,17 +135,17 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     while large:
         a = large[-1]
         k = bisect.bisect_right(large, capacity - a) - 1
+        if k >= 0 and large[k] == a and left[a] == 1:
+            k -= 1  # an odd last one goes with the next shorter
         b = large[k] if k >= 0 else None
         if b is None:
             n = left[a]
             put(a, n, sequences, 1, 0)
             opened(capacity - a, sequences, n)
         elif a == b:
-            n = left[a]
-            put(a, n, sequences, 2, 0)
-            opened(capacity - 2 * a, sequences, n // 2)
-            opened(capacity - a, sequences + n // 2, n % 2)
-            n = -(-n // 2)
+            n = left[a] // 2
+            put(a, 2 * n, sequences, 2, 0)
+            opened(capacity - 2 * a, sequences, n)
         else:
             n = min(left[a], left[b])
             put(a, n, sequences, 1, 0)

@@ -181,6 +181,19 @@ def test_packing_plan_fills():
     assert top < sum(n * c for n, c in counts.items()) / 1024 * 1.2
 
 
+@pytest.mark.parametrize("counts, want", [({400: 1, 350: 1}, 1), ({400: 3, 350: 1}, 2), ({n: 1 for n in range(342, 513)}, 86)])
+def test_packing_plan_pairs_odd_large_pieces(counts, want):
+    bins = {}
+    steps = packing.plan(counts)
+    for n, c in counts.items():
+        mine = [s[1:] for s in steps if s[0] == n]
+        for r in range(c):
+            rank, first, per, _ = [m for m in mine if m[0] <= r][-1]
+            at = first + (r - rank) // per
+            bins[at] = bins.get(at, 0) + n
+    assert len(bins) == want and max(bins.values()) <= 1024
+
+
 def test_quality_crf(spark):
     good = "The quick fox walks over the hill and rests.\nIt sleeps in the sun, then goes home."
     bad = "BUY!! NOW!! CHEAP!! PILLS!!\nBUY!! NOW!! CHEAP!! PILLS!!"
