@@ -13,10 +13,10 @@ from pyspark.sql import Window as W
 
 from .common import SPACE_CLASS, SPACES, pin
 
-#: Common words of a language's reference, and languages that get one (the most
-#: frequent; the others use the reference of all documents, named by null).
+#: Common words of a language's reference, and references up to which they are
+#: broadcast (some 2 KB each).
 COMMON_WORDS = 24
-LANGUAGES = 32
+BROADCAST_REFERENCES = 2000
 #: Distances above these fail a document.
 MOST_CHAR_DISTANCE = 0.28
 MOST_WORD_DISTANCE = 0.45
@@ -86,10 +86,9 @@ def base_columns(docs: DataFrame) -> DataFrame:
 
 def references(docs: DataFrame) -> DataFrame:
     """One row per language (null: all): character-class shares and the common
-    words with their shares.  At most LANGUAGES + 1 rows."""
+    words with their shares."""
     base = docs.select(F.col("lang").cast("string").alias("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-    top = base.where("lang is not null").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
     rest = F.regexp_replace("t", r"[^\x00-\x60\x7B-\x7F]+", "")
     without = lambda chars: F.length("rest") - F.length(F.translate("rest", chars, ""))
     sums = [F.sum("chars").alias("chars"), F.sum(F.col("chars") - F.length("rest")).alias("c_letter"),
@@ -99,14 +98,14 @@ def references(docs: DataFrame) -> DataFrame:
     by_lang = pin(base.select("lang", F.length("t").alias("chars"), rest.alias("rest")).groupBy("lang").agg(*sums))
     names = ["chars", "c_letter", "c_space", "c_upper", "c_digit", "c_symbol", "c_punct"]
     whole = by_lang.agg(*[F.sum(c).alias(c) for c in names]).select(F.lit(None).cast("string").alias("lang"), *names)
-    shares = by_lang.join(F.broadcast(top), "lang").unionByName(whole)
+    shares = by_lang.where("lang is not null").unionByName(whole)
     named = names[1:]
     other = F.col("chars") - sum((F.col(c) for c in named[1:]), F.col(named[0]))
     total = F.greatest(F.col("chars"), F.lit(1))
     shares = shares.withColumn("c_other", other).select("lang", F.array(*[F.col(c) / total for c in CLASSES]).alias("q_chars"))
     # the common words of each language and of all
     counts = pin(base.select("lang", F.explode(_words(F.col("t"))).alias("word")).groupBy("lang", "word").count())
-    known = counts.join(F.broadcast(top), "lang").unionByName(
+    known = counts.where("lang is not null").unionByName(
         counts.groupBy("word").agg(F.sum("count").alias("count")).select(F.lit(None).cast("string").alias("lang"), "word", "count"))
     totals = known.groupBy("lang").agg(F.sum("count").alias("total"))
     best = (known.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "word")))
@@ -115,7 +114,7 @@ def references(docs: DataFrame) -> DataFrame:
          .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("r", "word", "q"))).alias("q_words")))
     return pin(shares.join(q, shares["lang"].eqNullSafe(q["lang"]), "left").select(
         shares["lang"].alias("ref"), "q_chars", F.coalesce("q_words", F.array().cast("array<struct<r:int,word:string,q:double>>")).alias("q_words"))
-        .withColumn("q_pattern", _pattern(F.col("q_words")["word"])).coalesce(1))
+        .withColumn("q_pattern", _pattern(F.col("q_words")["word"])))
 
 
 def _pattern(words: Column) -> Column:
@@ -141,9 +140,9 @@ def distances(docs: DataFrame) -> DataFrame:
     """The base columns plus char_distance and word_distance (0 below the
     guards, and where the corpus gives no reference)."""
     refs = references(docs)
-    top = refs.where("ref is not null").select(F.col("ref").alias("known"))
-    d = base_columns(docs).join(F.broadcast(top), F.col("lang") == F.col("known"), "left")
-    d = d.join(F.broadcast(refs), F.col("known").eqNullSafe(F.col("ref")), "left")
+    if refs.count() <= BROADCAST_REFERENCES:
+        refs = F.broadcast(refs)
+    d = base_columns(docs).join(refs, F.col("lang").eqNullSafe(F.col("ref")), "left")
     p = F.array(*[F.struct((F.col(c) / F.greatest("chars", F.lit(1))).alias("p"), F.col("q_chars")[i].alias("q"))
                   for i, c in enumerate(CLASSES)])
     d = d.withColumn("hits", F.regexp_extract_all("t", F.col("q_pattern"), F.lit(0)))
@@ -162,7 +161,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """One row per document: the base columns, base_failed, kept, and the two
     distances.
 
-    Null and empty texts have no words and fail the base rules; a null or rare
+    Null and empty texts have no words and fail the base rules; a null
     language uses the reference of all documents; repeated rows are judged alike;
     an empty table gives an empty result."""
     far = (F.col("char_distance") > MOST_CHAR_DISTANCE) | (F.col("word_distance") > MOST_WORD_DISTANCE)

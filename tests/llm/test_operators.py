@@ -150,6 +150,17 @@ def test_quality_rules_word_distance(spark):
         assert abs(r.word_distance - want) < 1e-6
 
 
+def test_quality_rules_every_language(spark, monkeypatch):
+    name = lambda k: chr(97 + k // 10) + chr(97 + k % 10)
+    rows = [(2 * k + j, f"{name(k)} {name(k)}x " * 80, name(k), "s", 1, 7, "x") for k in range(40) for j in range(2)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {r.ref for r in quality_rules.references(docs).collect()} == {None, *(name(k) for k in range(40))}
+    for most in (2000, 0):
+        monkeypatch.setattr(quality_rules, "BROADCAST_REFERENCES", most)
+        out = quality_rules.distances(docs).collect()
+        assert len(out) == 80 and all(r.word_distance < 1e-6 and r.char_distance < 1e-6 for r in out)
+
+
 def test_packing(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer
