@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (exact_dedup, merge_dropout, near_dedup, packing, quality_crf, quality_rules, substring_dedup, suffix_dedup,
-               toxicity, url_filters)
+from . import (exact_dedup, filter_audit, line_dedup, merge_dropout, near_dedup, packing, quality_crf, quality_rules,
+               substring_dedup, suffix_dedup, toxicity, url_filters)
 
 QUERIES = {}
 ORACLE = {}
@@ -103,3 +103,49 @@ def op6_toxicity_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_dropout.digests(_docs(spark, sf_dir))
+
+
+@query(r"""
+with l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+d as (select doc_id, part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws),
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text), regexp_matches(text, '[#$%&*|]'),
+             coalesce(doc_id > min(doc_id) over (partition by text), false)] as f from t),
+c as (select part, f, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+      from d left join l using (doc_id) group by part, f),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (select concat(a.x, b.x, c.x, d.x, e.x) as filter_order from x a, x b, x c, x d, x e
+      where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select filter_order, step::int as step, ascii(filter_order[step:step]) - 64 as i,
+             list_transform(range(1, step), lambda k: ascii(filter_order[k:k]) - 64) as before
+      from o, (select unnest(range(1, 6)) as step)),
+e as (select part, filter_order, step, i, n, good, toxic, f[i] as fails,
+             len(list_filter(before, lambda k: f[k])) > 0 as gone, len(list_filter([1, 2, 3, 4, 5], lambda k: f[k])) as many
+      from c, s),
+r as (select part, filter_order, step, i, sum(case when not gone and not fails then n else 0 end)::bigint as kept,
+             sum(case when not gone and fails then n else 0 end)::bigint as removed,
+             sum(case when gone and fails then n else 0 end)::bigint as redundant,
+             sum(case when fails and many = 1 then n else 0 end)::bigint as unique_fails,
+             sum(case when not gone and fails then good else 0 end)::bigint as good_lost,
+             sum(case when not gone and fails then toxic else 0 end)::bigint as toxic_lost
+      from e group by part, filter_order, step, i)
+select * exclude (i), (sum(removed) over (partition by part, i))::bigint as shapley from r
+""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_documents(_docs(spark, sf_dir), _labels(spark, sf_dir))
+
+
+@query(r"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+l as (select doc_id, p, ls[p] as line from (select doc_id, ls, unnest(range(1, len(ls) + 1)) as p from d)),
+k as (select doc_id, p, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from l),
+many as (select key, max(doc_id) as last_doc from k where length(key) >= 20 group by key having count(distinct doc_id) >= 3),
+m as (select doc_id, p, line, coalesce(doc_id <> last_doc, false) as gone from k left join many using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by p) filter (where not gone), '')) as kept_sha256
+from m group by doc_id
+""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(_docs(spark, sf_dir))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import Counter
+from itertools import permutations
 
 
 def op9(docs, size=13):
@@ -70,3 +72,51 @@ def op2(docs, size=5, num=75, den=100):
             ra, rb = root(a), root(b)
             parent[max(ra, rb)] = min(ra, rb)
     return {d: (len(s), root(d), root(d) == d) for d, s in sets.items()}
+
+
+def op12(docs, labels):
+    """docs: (doc_id, text, source); labels: (doc_id, quality, toxic)."""
+    smallest = {}
+    for d, t, _ in docs:
+        if d is not None:
+            smallest[t or ""] = min(smallest.get(t or "", d), d)
+    good, toxic = ({d for d, *marks in labels if marks[k] == 1 and d is not None} for k in (0, 1))
+    fails, out = {}, {}
+    for d, t, s in docs:
+        t = t or ""
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        f = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 2 * len(t),
+             "D": bool(re.search(r"[#$%&*|]", t)), "E": d is not None and smallest[t] < d}
+        fails.setdefault(s or "", []).append(({x for x, bad in f.items() if bad}, d))
+    for part, rows in fails.items():
+        total = Counter()
+        for order in permutations("ABCDE"):
+            left = rows
+            for step, x in enumerate(order, 1):
+                here = [r for r in left if x in r[0]]
+                left = [r for r in left if x not in r[0]]
+                total[x] += len(here)
+                out[part, "".join(order), step] = [
+                    len(left), len(here), sum(x in f for f, _ in rows) - len(here), sum(f == {x} for f, _ in rows),
+                    sum(d in good for _, d in here), sum(d in toxic for _, d in here), x]
+        for (p, order, step), row in out.items():
+            if p == part:
+                row[-1] = total[row[-1]]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def op13(docs, least=20, documents=3):
+    """docs: (doc_id, text); one result for each row, in order.  A missing doc_id is one unknown document, the least."""
+    rank = lambda d: -(1 << 63) if d is None else d
+    key = lambda line: re.sub("[A-Z]+", lambda m: m[0].lower(), line.strip(" \t\n\x0b\x0c\r"))
+    holders = {}
+    for d, t in docs:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= least:
+                holders.setdefault(key(line), set()).add(rank(d))
+    out = []
+    for d, t in docs:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < least or len(holders[key(x)]) < documents or max(holders[key(x)]) == rank(d)]
+        out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return out
