@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (exact_dedup, filter_audit, line_dedup, merge_dropout, near_dedup, packing, quality_crf, quality_rules,
-               substring_dedup, suffix_dedup, toxicity, url_filters)
+               substring_dedup, suffix_dedup, token_alignment, toxicity, url_filters)
 
 QUERIES = {}
 ORACLE = {}
@@ -105,6 +105,11 @@ def op10_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_dropout.digests(_docs(spark, sf_dir))
 
 
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.measures(_docs(spark, sf_dir))
+
+
 @query(r"""
 with l as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
 t as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,

@@ -120,3 +120,52 @@ def op13(docs, least=20, documents=3):
         kept = [x for x in lines if len(key(x)) < least or len(holders[key(x)]) < documents or max(holders[key(x)]) == rank(d)]
         out.append((d, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
     return out
+
+
+def op11(docs):
+    """docs: (doc_id, text); one result for each row, in order, from whole texts."""
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+    a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {**{chr(x): x for x in shown}, **{chr(256 + k): x for k, x in enumerate(x for x in range(256) if x not in shown)}}
+    spell_a = lambda i: bytes(shown[c] for c in a.id_to_token(i))
+    spell_b = lambda i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("\u2581", " ").encode()
+    links, groups, held = [], [], Counter()
+    for _, t in docs:
+        t = t or ""
+        ia, ib = (a.encode(" " + t, add_special_tokens=False).ids, b.encode(t)) if t else ([], [])
+        sa, sb = [spell_a(i) for i in ia], [spell_b(i) for i in ib]
+        mine, link = [], Counter()
+        if t and b"".join(sa) == b"".join(sb) == (" " + t).encode():
+            ends = [set(), set()]
+            at = [[], []]
+            for k, s in enumerate((sa, sb)):
+                end = 0
+                for x in s:
+                    end += len(x)
+                    ends[k].add(end)
+                    at[k].append(end)
+            cuts = sorted(ends[0] & ends[1])
+            lo = 0
+            for hi in cuts:
+                ga, gb = ([i for i, e in zip(ids, at[k]) if lo < e <= hi] for k, ids in enumerate((ia, ib)))
+                mine.append((ga, gb))
+                link.update((x, y) for x in ga for y in gb)
+                lo = hi
+        groups.append(mine)
+        links.append(link)
+        held.update(set(link))
+    top = {}
+    for (x, _), n in held.items():
+        top[x] = max(top.get(x, 0), n)
+    out = []
+    for (d, _), mine, link in zip(docs, groups, links):
+        text = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in mine)
+        out.append((d, sum(len(x) for x, _ in mine), sum(len(y) for _, y in mine), len(mine), sum(link.values()),
+                    sum(n for p, n in link.items() if held[p] == top[p[0]]), sum(n * held[p] for p, n in link.items()),
+                    hashlib.sha256(text.encode()).hexdigest() if mine else ""))
+    return out
