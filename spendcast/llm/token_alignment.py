@@ -10,16 +10,14 @@
    the pair; a block's table is as large as its own pairs.  Each text's measures follow,
    and are joined to the doc_ids by the text's SHA-256.
 
-Words repeat, and at a space or line feed after a word both tokenizers begin a new
-token, so a worker keeps what it found for words; texts with other white space are
-tokenised whole.
+Tokens come from the two libraries, text by text; offsets, groups, links and the written
+groups are then array operations over some hundred texts at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +29,10 @@ from .common import id_text, pin
 
 MODEL_A, MODEL_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK = 4 << 20  # bytes of text in a block; bounds a worker's memory, not its results
-_CACHE_MOST, _CACHED_LONGEST = 200_000, 48  # words that a worker keeps, and their characters
+_SLICE, _RANGE = 1 << 18, 1 << 17  # characters aligned, and tokens written out, at once; bound memory only
+_WIDE = 4096  # links of a group from which they are counted by id
 _ROWS = 256  # texts turned into Python objects at once
-_ODD = re.compile(r"[^\S \n]")  # white space other than space and line feed
-_CHUNK = re.compile("[ \n]+[^ \n]*")
+_RARE = re.compile("[^\x00-\u024f]")
 _SPACE = "▁"
 
 
@@ -46,86 +44,147 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class _Spelling:
+    """Byte strings by number, laid out so that many are written by one lookup."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.size = np.array([len(s) for s in strings], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def write(self, numbers: np.ndarray) -> np.ndarray:
+        size = self.size[numbers]
+        before = np.cumsum(size) - size
+        return self.flat[np.repeat(self.start[numbers] - before, size) + np.arange(int(size.sum()))]
+
+
+class Aligned:
+    """What ``Aligner`` finds in a text: n_a, n_b, n_groups, n_links, the SHA-256 of its
+    groups written out (and these, if asked for), the codes (a * size of B + b) of its
+    linked pairs in order, and how often each is linked."""
+
+    __slots__ = ("sizes", "digest", "written", "codes", "times")
+
+
 class Aligner:
     """Two tokenizers by their files: A a byte-level BPE, B a SentencePiece model."""
 
     def __init__(self, path_a: str, path_b: str):
+        import public_tokenizers
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True  # their strings are plain text
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         byte = _byte_of()
-        self.bytes_a = {i: bytes(byte[c] for c in t) for t, i in self.a.get_vocab(with_added_tokens=False).items()
-                        if all(c in byte for c in t)}
+        ids = {bytes(byte[c] for c in t): i for t, i in self.a.get_vocab(with_added_tokens=False).items() if all(c in byte for c in t)}
+        bytes_a = [b""] * (1 + max(ids.values()))
+        for t, i in ids.items():
+            bytes_a[i] = t
+        # the same merges through a faster library, for characters that all versions of Unicode class alike
+        self.fast = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                                      mergeable_ranks={t: i for t, i in ids.items() if t and t != b"<|endoftext|>"}).encode_ordinary
         self.many_b = self.b.get_piece_size()
-        self.bytes_b = []
+        bytes_b = []
         for i in range(self.many_b):
             piece = self.b.id_to_piece(i)
-            self.bytes_b.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else
-                                b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace(_SPACE, " ").encode())
-        self.words: dict[str, tuple | None] = {}
-
-    def groups(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> list[tuple[list[int], list[int]]] | None:
-        """Ids by group, or None if either's bytes are not ``raw``."""
-        a, b = [self.bytes_a.get(i, b"") for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        if b"".join(a) != raw or b"".join(b) != raw:
-            return None
-        out, i, j, end_a, end_b, lo_a, lo_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b and i < len(a):
-                end_a += len(a[i])
-                i += 1
-            else:
-                end_b += len(b[j])
-                j += 1
-            if end_a == end_b:
-                out.append((ids_a[lo_a:i], ids_b[lo_b:j]))
-                lo_a, lo_b = i, j
-        return out
-
-    def found(self, ids_a: list[int], ids_b: list[int], raw: bytes) -> tuple | None:
-        """n_a, n_b, n_groups, n_links, the groups written out, and the codes (a * size of
-        B + b) of linked pairs with how often each is linked, as 64-bit integers."""
-        groups = self.groups(ids_a, ids_b, raw)
-        if groups is None:
-            return None
-        links: Counter = Counter()
-        for a, b in groups:
-            if len(a) == len(b) == 1:
-                links[a[0] * self.many_b + b[0]] += 1
+            bytes_b.append(bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else
+                           b"" if self.b.is_control(i) or self.b.is_unknown(i) else piece.replace(_SPACE, " ").encode())
+        self.spell_a, self.spell_b = _Spelling(bytes_a), _Spelling(bytes_b)
+        #: Ids as written among the groups, by 2 * id + (last of its group); B's after A's.
+        self.numbers = _Spelling([f"{i}{end}".encode() for n, ends in ((len(bytes_a), ",|"), (self.many_b, ",;")) for i in range(n) for end in ends])
+        self.from_b = 2 * len(bytes_a)
+
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        a = self.a.encode(" " + text, add_special_tokens=False).ids if _RARE.search(text) else self.fast(" " + text)
+        return np.array(a, np.int64), np.array(self.b.encode(text), np.int64)
+
+    def __call__(self, texts: list[str], write: bool = False) -> list[Aligned | None]:
+        """Of each text, or None for those without tokens."""
+        out: list[Aligned | None] = [None] * len(texts)
+        found = []
+        for k, text in enumerate(texts):
+            if text:
+                a, b = self.ids(text)
+                raw = np.frombuffer((" " + text).encode(), np.uint8)
+                if np.array_equal(self.spell_a.write(a), raw) and np.array_equal(self.spell_b.write(b), raw):
+                    found.append((k, a, b))
+        if not found:
+            return out
+        a, b = (np.concatenate([f[i] for f in found]) for i in (1, 2))
+        end_a, end_b = np.cumsum(self.spell_a.size[a]), np.cumsum(self.spell_b.size[b])
+        # groups: where tokens of both end, as every text does
+        last_a = np.flatnonzero(end_b[np.searchsorted(end_b, end_a)] == end_a)
+        last_b = np.flatnonzero(end_a[np.searchsorted(end_a, end_b)] == end_b)
+        first_a, first_b = (np.concatenate([[0], x[:-1] + 1]) for x in (last_a, last_b))
+        many_a, many_b = last_a - first_a + 1, last_b - first_b + 1
+        upto = np.cumsum([len(f[1]) for f in found])  # tokens of A, by text
+        text_of = np.searchsorted(upto, last_a, "right")
+        n_groups = np.bincount(text_of, minlength=len(found))
+        n_links = np.add.reduceat(many_a * many_b, np.cumsum(n_groups) - n_groups)
+        hashes, written = [hashlib.sha256() for _ in found], [[] for _ in found]
+        keys, times = [], []
+        edges = np.searchsorted(np.cumsum(many_a + many_b), np.arange(_RANGE, len(a) + len(b), _RANGE))
+        for lo, hi in zip([0, *edges], [*edges, len(last_a)]):
+            if lo == hi:
                 continue
-            times_b = Counter(b)
-            for x, n in Counter(a).items():
-                for y, m in times_b.items():
-                    links[x * self.many_b + y] += n * m
-        written = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
-        return (len(ids_a), len(ids_b), len(groups), sum(len(a) * len(b) for a, b in groups), written.encode(),
-                np.array(list(links), np.int64).tobytes(), np.array(list(links.values()), np.int64).tobytes())
-
-    def _word(self, word: str) -> tuple | None:
-        # after a line feed, which no piece of B joins with others, B puts no space of its own
-        ids_b = self.b.encode("\n" + word)[2:]
-        out = self.found(self.a.encode(word, add_special_tokens=False).ids, ids_b, word.encode())
-        if len(word) <= _CACHED_LONGEST:
-            if len(self.words) >= _CACHE_MOST:
-                self.words.clear()
-            self.words[word] = out
+            some = slice(lo, hi)
+            of_a, of_b = (np.repeat(np.arange(lo, hi), x[some]) for x in (many_a, many_b))
+            ids_a, ids_b = a[first_a[lo]:last_a[hi - 1] + 1], b[first_b[lo]:last_b[hi - 1] + 1]
+            # in writing, B's tokens of a group follow A's
+            row = np.empty(len(ids_a) + len(ids_b), np.int64)
+            place_a = np.arange(len(ids_a)) + first_b[of_a] - first_b[lo]
+            place_b = np.arange(len(ids_b)) + last_a[of_b] + 1 - first_a[lo]
+            row[place_a] = 2 * ids_a
+            row[place_b] = self.from_b + 2 * ids_b
+            row[place_a[last_a[some] - first_a[lo]]] += 1
+            row[place_b[last_b[some] - first_b[lo]]] += 1
+            line = self.numbers.write(row)
+            end = np.cumsum(self.numbers.size[row])[place_b[last_b[some] - first_b[lo]]]  # of each group
+            here = text_of[some]
+            for t in range(here[0], here[-1] + 1):
+                g0, g1 = np.searchsorted(here, t), np.searchsorted(here, t, "right")
+                part = line[end[g0 - 1] if g0 else 0:end[g1 - 1]].tobytes()
+                part = part[:-1] if g1 + lo == len(text_of) or text_of[g1 + lo] != t else part
+                hashes[t].update(part)
+                if write:
+                    written[t].append(part)
+            # links; a group of very many is counted by id instead
+            wide = many_a[some] * many_b[some] > _WIDE
+            each = np.where(wide, 0, many_b[some])[of_a - lo]
+            left = np.repeat(np.arange(len(ids_a)), each)
+            right = np.repeat(first_b[of_a] - first_b[lo] - (np.cumsum(each) - each), each) + np.arange(len(left))
+            keys.append(text_of[of_a][left] << 32 | ids_a[left] * self.many_b + ids_b[right])
+            times.append(np.ones(len(left), np.int64))
+            for g in np.flatnonzero(wide) + lo:
+                (x, n), (y, m) = (np.unique(v[f[g]:e[g] + 1], return_counts=True) for v, f, e in ((a, first_a, last_a), (b, first_b, last_b)))
+                keys.append((text_of[g] << 32 | x[:, None] * self.many_b + y[None, :]).ravel())
+                times.append((n[:, None] * m[None, :]).ravel())
+        keys, times = np.concatenate(keys), np.concatenate(times)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, times = keys[first], np.add.reduceat(times[order], first)
+        cut = np.searchsorted(keys >> 32, np.arange(len(found) + 1))
+        for t, (k, ids_a, ids_b) in enumerate(found):
+            x = out[k] = Aligned()
+            x.sizes = (len(ids_a), len(ids_b), int(n_groups[t]), int(n_links[t]))
+            x.digest, x.written = hashes[t].digest(), b"".join(written[t])
+            x.codes, x.times = keys[cut[t]:cut[t + 1]] & 0xFFFFFFFF, times[cut[t]:cut[t + 1]]
         return out
 
-    def __call__(self, text: str) -> tuple | None:
-        """``found`` of a whole text; None without tokens."""
-        if not text:
-            return None
-        if _ODD.search(text):
-            raw = " " + text
-            return self.found(self.a.encode(raw, add_special_tokens=False).ids, self.b.encode(text), raw.encode())
-        words = self.words
-        parts = [words[w] if w in words else self._word(w) for w in _CHUNK.findall(" " + text)]
-        if None in parts:
-            return None
-        n_a, n_b, n_groups, n_links, written, codes, times = zip(*parts)
-        return sum(n_a), sum(n_b), sum(n_groups), sum(n_links), b";".join(written), b"".join(codes), b"".join(times)
+
+def _slices(texts: list[str]):
+    """Runs of texts of about ``_SLICE`` characters, or of one longer text."""
+    lo = size = 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= _SLICE:
+            yield lo, k + 1
+            lo, size = k + 1, 0
+    if lo < len(texts):
+        yield lo, len(texts)
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -152,9 +211,10 @@ def alignments(docs: DataFrame, model_a: str = MODEL_A, model_b: str = MODEL_B)
     def run(batches):
         align = aligner(model_a, model_b)
         for batch in batches:
-            found = (align(t) for t in batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[4].decode() if x else "" for x in found], pa.string())],
-                                             names=["doc_id", "groups"])
+            texts = batch.column("text").to_pylist()
+            for lo, hi in _slices(texts):
+                written = [x.written.decode() if x else "" for x in align(texts[lo:hi], write=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(written, pa.string())], names=["doc_id", "groups"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, groups string")
 
@@ -192,16 +252,12 @@ def _blocks(model_a: str, model_b: str):
         for batch in batches:
             for lo in range(0, batch.num_rows, _ROWS):
                 some = batch.slice(lo, _ROWS)
-                for text, n in zip(some.column("text").to_pylist(), some.column("n").to_pylist()):
-                    if (x := align(text)) is None:
-                        continue
-                    codes, times = np.frombuffer(x[5], np.int64), np.frombuffer(x[6], np.int64)
-                    order = np.argsort(codes, kind="stable")
-                    codes = codes[order]
-                    first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
-                    digest = hashlib.sha256(text.encode()).digest() + hashlib.sha256(x[4]).digest()
-                    texts.append((digest, n, x[:4], codes[first], np.add.reduceat(times[order], first)))
-                    size += len(text)
+                rows, copies = some.column("text").to_pylist(), some.column("n").to_pylist()
+                for first, end in _slices(rows):
+                    for text, n, x in zip(rows[first:end], copies[first:end], align(rows[first:end])):
+                        if x:
+                            texts.append((hashlib.sha256(text.encode()).digest() + x.digest, n, x.sizes, x.codes, x.times))
+                            size += len(text)
                     if size >= BLOCK:
                         yield flush()
         if texts:

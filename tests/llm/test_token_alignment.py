@@ -44,9 +44,28 @@ def test_groups_and_pair_table(spark, docs):
     groups = {r.doc_id: r.groups for r in token_alignment.alignments(_frame(spark, some)).collect()}
     held = {}
     for d, t in some:
-        links = {(int(x), int(y)) for g in token_alignment.aligner()(t or "")[4].decode().split(";") for a, b in [g.split("|")]
-                 for x in a.split(",") for y in b.split(",")} if t and token_alignment.aligner()(t) else set()
+        links = {(int(x), int(y)) for g in token_alignment.aligner()([t], write=True)[0].written.decode().split(";")
+                 for a, b in [g.split("|")] for x in a.split(",") for y in b.split(",")} if groups[d] else set()
         for p in links:
             held[p] = held.get(p, 0) + 1
     got = {(r.a, r.b): r.documents for r in token_alignment.pair_table(_frame(spark, some)).collect()}
     assert got == held and groups[900] == groups[901] == "" and groups[902] == groups[3]
+
+
+@pytest.mark.parametrize("name, value", [("_RANGE", 7), ("_WIDE", 1), ("_SLICE", 50)])
+def test_slices_ranges_and_wide_groups_change_nothing(docs, name, value, monkeypatch):
+    texts = [t for _, t in docs if t is not None and len(t) < 5000]
+    whole = token_alignment.aligner()(texts, write=True)
+    monkeypatch.setattr(token_alignment, name, value)
+    parts = [x for lo, hi in token_alignment._slices(texts) for x in token_alignment.aligner()(texts[lo:hi], write=True)]
+    for x, y in zip(whole, parts, strict=True):
+        assert (x is None) == (y is None)
+        assert not x or (x.sizes, x.digest, x.written, x.codes.tolist(), x.times.tolist()) == (
+            y.sizes, y.digest, y.written, y.codes.tolist(), y.times.tolist())
+
+
+def test_both_libraries_of_a_agree(docs):
+    align = token_alignment.aligner()
+    for _, t in docs:
+        if t and not token_alignment._RARE.search(t):
+            assert align.fast(" " + t) == align.a.encode(" " + t, add_special_tokens=False).ids
