@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from spendcast.functions.periods import (day_key, epoch_seconds, history_before, in_month,
                                          month_key)
 from spendcast.operators.labels import baseline_prob, customer_spine, month_label, month_labels
 from spendcast.plans.base import MONTH, PREV_MONTH, THR, register, tx, with_tx
+from spendcast.sources import sinks
+from spendcast.sources.csv_records import BAD, bad_records
+from spendcast.sources.transactions import read_transactions
 
 _LABEL_SQL = """
 SELECT s.customer_id, s.year_month, CAST(COALESCE(t.total, 0) AS DOUBLE) AS total,
@@ -102,8 +106,6 @@ _BASE_COLS = ("order_id", "product_id", "description", "quantity", "order_date",
 def q_csv_scan(spark, sf_dir):
     """Order lines written as a headered CSV file (the original input format)
     and read back with the fixed schema."""
-    from spendcast.sources import sinks
-    from spendcast.sources.transactions import read_transactions
     path = sinks.scratch_path(spark, "order-lines")
     sinks.write_dataset(tx(spark, sf_dir).select(*_BASE_COLS), path, "csv",
                         options={"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"})
@@ -114,3 +116,54 @@ def q_csv_scan(spark, sf_dir):
     _LABEL_SQL.format(m=PREV_MONTH, thr=THR) + " UNION ALL " + _LABEL_SQL.format(m=MONTH, thr=THR)))
 def q_month_labels(spark, sf_dir):
     return month_labels(tx(spark, sf_dir), [PREV_MONTH, MONTH], THR)
+
+
+_KNOTTY = "description || ' \"' || product_id || '\", 5\" wide;' || chr(10) || '\"\"' || chr(13) || chr(10) || country"
+
+
+@register("csv_quoted", with_tx(f"SELECT order_id, line_seq, {_KNOTTY} AS description, total FROM transactions"))
+def q_csv_quoted(spark, sf_dir):
+    """Texts with quotes, separators and line feeds through CSV and back, by split."""
+    rows = tx(spark, sf_dir).select("order_id", "line_seq", F.expr(_KNOTTY.replace("chr(", "char(")).alias("description"), "total")
+    path = sinks.scratch_path(spark, "quoted-lines")
+    sinks.write_dataset(rows, path, "csv")
+    return sinks.read_dataset(spark, path, rows.schema, "csv")
+
+
+def _dirty_lines(spark, sf_dir):
+    """Order lines as CSV text, some of them as other tools write them (dates without a
+    time, whole numbers with a fraction), some broken: by line number in the order."""
+    at = lambda k, bad, good: F.when(F.col("line_seq") == k, bad).otherwise(good)
+    text = lambda c: F.col(c).cast("string")
+    stamp = F.date_format("order_date", "yyyy-MM-dd HH:mm:ss")
+    fields = [text("order_id"), text("product_id"), F.concat(F.lit('"'), F.col("description"), F.lit('"')),
+              at(4, F.concat(F.lit("x"), text("quantity")), text("quantity")),
+              at(2, F.date_format("order_date", "yyyy-MM-dd"), at(6, F.lit("2001-13-45"), stamp)),
+              at(6, F.lit("n/a"), text("price")), at(3, F.concat(text("customer_id"), F.lit(".0")), text("customer_id")), text("country"), text("total")]
+    line = F.concat_ws(",", *fields)
+    return tx(spark, sf_dir).select(at(5, F.regexp_replace(line, ",[^,]*$", ""), line).alias("value"))
+
+
+def _read_dirty(spark, sf_dir):
+    path = sinks.scratch_path(spark, "dirty-lines")
+    sinks.write_text(_dirty_lines(spark, sf_dir), path, header=",".join(_BASE_COLS))
+    return read_transactions(spark, path, bad="mark")
+
+
+@register("csv_dirty_rows", with_tx("""
+SELECT order_id, CASE WHEN line_seq <> 4 THEN quantity END AS quantity,
+       CASE line_seq WHEN 2 THEN CAST(CAST(order_date AS DATE) AS TIMESTAMP) WHEN 6 THEN NULL ELSE order_date END AS order_date,
+       CASE WHEN line_seq <> 6 THEN price END AS price, customer_id, country, CASE WHEN line_seq <> 5 THEN total END AS total,
+       CASE line_seq WHEN 4 THEN 'quantity' WHEN 5 THEN 'fields' WHEN 6 THEN 'order_date,price' END AS bad
+FROM transactions"""))
+def q_csv_dirty_rows(spark, sf_dir):
+    return _read_dirty(spark, sf_dir).select("order_id", "quantity", "order_date", "price", "customer_id", "country", "total",
+                                             F.array_join(BAD, ",").alias("bad"))
+
+
+@register("csv_bad_records", with_tx("""
+SELECT NULL AS reason, COUNT(*) AS records FROM transactions UNION ALL
+SELECT reason, COUNT(*) FROM (SELECT unnest(CASE line_seq WHEN 4 THEN ['quantity'] WHEN 5 THEN ['fields']
+                                            WHEN 6 THEN ['order_date', 'price'] END) AS reason FROM transactions) GROUP BY reason"""))
+def q_csv_bad_records(spark, sf_dir):
+    return bad_records(_read_dirty(spark, sf_dir))

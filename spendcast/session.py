@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours uses; a cluster deployment passes its own
 # values for the rest (memory, partitions, checkpoint dir).
@@ -55,10 +57,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/ABFS) so checkpoints survive executor loss")
     path = tempfile.mkdtemp(prefix="spendcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def pin(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it
+    back: cuts the lineage, survives executor loss, and later reads take only the
+    columns they use (a checkpoint's rows are read whole)."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/pin-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(schema).parquet(path)

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spendcast.sources.csv_records import BAD, RECORD, read_csv
+
 # Row order used by every order-sensitive operator (running sums, diffs,
 # first/last).  (order_id, line_seq) is unique, so the order is total.
 ORDER_KEY = ("order_date", "order_id", "line_seq")
@@ -49,12 +51,27 @@ def with_line_seq(df: DataFrame) -> DataFrame:
     return df.withColumn("line_seq", F.row_number().over(w))
 
 
-def read_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Read order lines with a fixed schema (header CSV or Parquet)."""
+def read_transactions(spark: SparkSession, path: str, fmt: str = "csv", bad: str = "keep") -> DataFrame:
+    """Read order lines with a fixed schema (header CSV or Parquet).
+
+    CSV is read in as many tasks as the file has splits, line feeds in quoted fields
+    included.  Dates may lack the time and whole numbers may end in ``.0``.  ``bad``:
+    records with a wrong number of fields or a value that does not fit its column are
+    kept with nulls (``keep``), kept with the columns ``_bad`` (reasons) and ``_record``
+    (``mark``; ``csv_records.bad_records`` counts them), left out (``drop``), or end the
+    job (``fail``).
+    """
+    if bad not in ("keep", "mark", "drop", "fail"):
+        raise ValueError(f"unknown treatment of bad records {bad!r}")
     if fmt == "csv":
-        df = (spark.read.schema(TRANSACTIONS_SCHEMA).option("header", True)
-              .option("escape", '"').option("multiLine", True)
-              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+        df = read_csv(spark, path, TRANSACTIONS_SCHEMA)
+        if bad == "drop":
+            df = df.where(F.col(BAD).isNull())
+        elif bad == "fail":
+            broken = F.raise_error(F.concat(F.lit("bad record: "), F.array_join(BAD, ", "), F.lit(" in "), F.col(RECORD)))
+            df = df.where(F.when(F.col(BAD).isNotNull(), broken.cast("boolean")).otherwise(F.lit(True)))
+        if bad != "mark":
+            df = df.drop(BAD, RECORD)
     else:
         df = spark.read.format(fmt).load(path)
         df = df.select([F.col(f.name).cast(f.dataType).alias(f.name)
