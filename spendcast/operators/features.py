@@ -4,15 +4,16 @@ training / scoring sets.
 Plan shape:
 
 * ``enrich_rows`` derives row-level columns once for the latest cut: product
-  family, postage, EU flag, epoch seconds, then three ordered scans
-  (per customer: 4 running sums + 4 differences; per product family: 3
-  running sums; per order: 3 running sums).  Running values only look
-  backwards in the row order, so an earlier cut reads the same values.
-* ``feature_matrix`` cuts the enriched rows at ``as_of`` and runs one wide
-  aggregate by customer, one distinct-count aggregate, a per-country
-  first-appearance table (one row per country) and joins them on
-  ``customer_id``.  Outlier flags and country codes come from the cut rows
-  only, so no future row leaks into a feature.
+  family, postage, EU flag, epoch seconds, then three ordered scans (per product
+  family: 3 running sums; per order: 3 running sums; per customer: 4 running sums,
+  4 differences and the row's number).  Running values only look backwards in the
+  row order, so an earlier cut reads the same values.  Each scan carries only the
+  columns that the features read; texts are replaced by numbers before the first.
+* ``feature_matrices`` reads the enriched rows once into partial statistics per
+  customer and month, merges these along the months, and takes the state before
+  each cut (``operators.partials``).  Outlier flags and country codes come from the
+  state before the cut only, so no future row leaks into a feature: a country's code
+  is its rank by first appearance, which later rows do not change.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ from pyspark.sql import functions as F
 from spendcast.functions.codes import product_anomalous, product_prefix
 from spendcast.functions.lookups import eu_flag
 from spendcast.functions.periods import epoch_seconds, history_before, month_start, prev_month
-from spendcast.functions.stats import SEVEN_STATS, last_value
+from spendcast.functions.stats import SEVEN_STATS
 from spendcast.operators.labels import TOTAL_THRES, month_label, month_labels
 from spendcast.operators.lookups import first_seen_code
+from spendcast.operators import partials as pt
+from spendcast.operators.prepare import impute_median
 from spendcast.operators.running import scan_customer
 from spendcast.operators.scan import materialize, prefix_scan
-from spendcast.operators.stats import customer_stats, post_amount
+from spendcast.operators.stats import post_amount
 from spendcast.sources.transactions import order_cols
 
 CUST_SUMS = {
@@ -56,6 +59,7 @@ DIFFS = {
     "total_diff": "total",
 }
 
+# Names and order of the feature columns, an output contract.
 # (column, statistics) in output order; names are "{column}-{statistic}".
 FEATURE_SPEC = (
     ("quantity", SEVEN_STATS), ("price", SEVEN_STATS), ("total", SEVEN_STATS),
@@ -75,60 +79,69 @@ FEATURE_SPEC = (
 FEATURE_NAMES = tuple(f"{c}-{s}" for c, stats in FEATURE_SPEC for s in stats)
 
 
+_CODE_BYTES = 7  # of a product code, as a number that sorts like the code; five digits fit
+
+
+def _code_key() -> "F.Column":
+    start = F.substring(F.col("product_id").cast("binary"), 1, _CODE_BYTES)
+    return F.conv(F.rpad(F.hex(start), 2 * _CODE_BYTES, "0"), 16, 10).cast("long")
+
+
+def _code_start(key: str) -> "F.Column":
+    """The start of the code that ``_code_key`` made a number of."""
+    return F.rtrim(F.unhex(F.lpad(F.hex(F.col(key)), 2 * _CODE_BYTES, "0")).cast("string"), F.lit("\0"))
+
+
 def enrich_rows(df: DataFrame, method: str = "chunked", post_code: str | None = "POST",
                 pin: bool = True) -> DataFrame:
-    """Row-level derivations and ordered scans (see module docstring).
+    """Row-level derivations and ordered scans (see module docstring), with the
+    columns that the features read.
 
-    With ``pin`` the result is written once as a reliable checkpoint: the
-    feature aggregates (exact, moments, distinct, country codes) and both
-    cuts read it, instead of each re-running the three scan shuffles with
-    its own column pruning.
+    With ``pin`` the result is written once as a table: the partial statistics, the
+    first appearances of distinct values and of countries read their columns of it,
+    instead of each re-running the three scan shuffles.
     """
     order = order_cols()
     rows = df.select(
-        "order_id", "product_id", "quantity", "order_date", "price", "customer_id", "country",
-        "total", "line_seq",
+        "order_id", "quantity", "order_date", "price", "customer_id", "total", "line_seq",
         product_prefix("product_id").alias("product_prefix"),
         post_amount("product_id", post_code).alias("post"),
         eu_flag("country").alias("eu"),
         epoch_seconds("order_date").alias("order_ts"),
+        F.when(F.col("country").isNotNull(), F.xxhash64("country")).alias("country_key"),
+        _code_key().alias("code_key"),
     )
-    rows = scan_customer(rows, CUST_SUMS, DIFFS, order, method)
-    rows = prefix_scan(rows, ["product_prefix"], order, sums=PROD_SUMS, method=method)
-    rows = prefix_scan(rows, ["order_id"], order, sums=ORDER_SUMS, method=method)
+    carry = rows.columns
+    rows = prefix_scan(rows, ["product_prefix"], order, sums=PROD_SUMS, method=method, keep=carry)
+    carry = [*carry, *PROD_SUMS]
+    rows = prefix_scan(rows, ["order_id"], order, sums=ORDER_SUMS, method=method, keep=carry)
+    carry = [*carry, *ORDER_SUMS]
+    rows = scan_customer(rows, CUST_SUMS, DIFFS, order, method, keep=carry, row_number="row_number")
     return materialize(rows) if pin else rows
 
 
 def feature_matrices(df: DataFrame, cuts: list[str], enriched: DataFrame | None = None,
                      max_rows: int = 20, method: str = "chunked") -> DataFrame:
-    """``customer_id, as_of`` plus the 124 features for several history cuts
-    in one aggregate: every enriched row is sent to each cut it precedes
-    (the cuts are nested, so a row joins at most ``len(cuts)`` of them)."""
+    """``customer_id, as_of`` plus the 124 features for several history cuts, from one
+    pass over the enriched rows (all features as double)."""
     cuts = sorted(set(cuts))
     if enriched is None:
         enriched = enrich_rows(history_before(df, cuts[-1]), method)
-    order = order_cols()
-    tagged = F.explode(F.array(*[F.struct(F.lit(c).alias("as_of"), month_start(c).alias("ts"))
-                                 for c in cuts])).alias("_cut")
-    rows = (enriched.where(F.col("customer_id").isNotNull()).select("*", tagged)
-            .where(F.col("order_date") < F.col("_cut.ts"))
-            .withColumn("as_of", F.col("_cut.as_of")).drop("_cut"))
-    keys = ["customer_id", "as_of"]
-    spec = [(c, stats) for c, stats in FEATURE_SPEC if c not in ("country_code", "outlier")]
-    stats = customer_stats(rows, spec, keys=keys, order=order,
-                           sources={"product_id": "product_prefix"},
-                           extra={"_last_country": last_value("country", order),
-                                  "_n_rows": F.count(F.lit(1)),
-                                  "_min_code": F.min("product_id")})
-    # one row per (cut, country): bounded by the number of countries per cut
-    codes = (first_seen_code(rows, "country", order, by=["as_of"])
-             .withColumnRenamed("country", "_last_country"))
-    joined = stats.join(codes, ["as_of", "_last_country"], "left")
-    outlier = ((F.col("_n_rows") < max_rows) & product_anomalous("_min_code")).cast("int")
+    rows = enriched.where(F.col("order_date") < month_start(cuts[-1]))
+    moments = [c for c, stats in FEATURE_SPEC if set(stats) & {"mean", "max", "min", "sum", "std", "skew"}]
+    distinct = {"order_id": "order_id", "product_id": "product_prefix"}
+    first, last = ["order_ts"], ["order_ts", "eu", "country_key"]
+    partials = pt.month_partials(rows, ["customer_id"], moments, "row_number", first, last, distinct, ["code_key"], cuts)
+    states = pt.running(partials, ["customer_id"], moments, first, last, list(distinct), ["code_key"], cuts)
+    # one row per country; ranks by first appearance hold for every cut
+    codes = materialize(first_seen_code(rows, "country_key", order_cols(), name="country_code", method=method))
+    joined = pt.at_cuts(states, cuts).join(codes.withColumnRenamed("country_key", "last_country_key"), "last_country_key", "left")
+    outlier = ((F.col("rows") < max_rows) & product_anomalous(_code_start("least_code_key"))).cast("int")
     feats = {"country_code-last": F.col("country_code"),
              "outlier-last": F.coalesce(outlier, F.lit(0))}
     return joined.select("customer_id", "as_of", *[
-        feats.get(n, F.col(f"`{n}`")).cast("double").alias(n) for n in FEATURE_NAMES])
+        (feats[n] if (n := f"{c}-{s}") in feats else pt.statistic(c, s)).cast("double").alias(n)
+        for c, stats in FEATURE_SPEC for s in stats])
 
 
 def feature_matrix(df: DataFrame, as_of: str, enriched: DataFrame | None = None,
@@ -182,3 +195,23 @@ def build_datasets(df: DataFrame, m: str, thr=TOTAL_THRES, max_rows: int = 20,
         feats = mats.where(F.col("as_of") == month).drop("as_of")
         out.append(lab.join(feats, "customer_id", "left"))
     return out[0], out[1], list(FEATURE_NAMES)
+
+
+STAT_COLUMNS = ("quantity", "price", "total")
+
+
+def stat_datasets(df: DataFrame, m: str, thr=TOTAL_THRES, columns: Sequence[str] = STAT_COLUMNS,
+                  method: str = "chunked") -> tuple[DataFrame, DataFrame, list[str]]:
+    """The short form of ``build_datasets``: the seven statistics of a few columns over
+    the rows before the label's month, missing values filled with the training set's
+    medians; training set, scoring set and feature names."""
+    pm = prev_month(m)
+    spec = [(c, SEVEN_STATS) for c in columns]
+    names = [f"{c}-{s}" for c, stats in spec for s in stats]
+    stats = pt.stats_at_cuts(history_before(df, m), spec, [pm, m], name="year_month")
+    stats = stats.select("customer_id", "year_month", *[F.col(f"`{n}`").cast("double").alias(n) for n in names])
+    sets = materialize(month_labels(df, [pm, m], thr).select("customer_id", "year_month", "label")
+                       .join(stats, ["customer_id", "year_month"], "left"))
+    train, score = (sets.where(F.col("year_month") == x) for x in (pm, m))
+    train, score, _ = impute_median(train, score, names, method=method)
+    return train, score, names

@@ -7,8 +7,9 @@ window per key.  A key with a third of all rows then lands in one task.
 ``method="chunked"`` is a distributed prefix scan:
 
 1. range-partition by ``(key, order)`` into ``n`` chunks, so a hot key is cut
-   into many contiguous chunks; the chunk id is pinned by a reliable
-   checkpoint (it must not change if a task is retried);
+   into many contiguous chunks; the chunk id is pinned with the rows in a Parquet
+   table (it must not change if a task is retried), which holds the columns that
+   the caller asks for (``keep``) and those that the scan reads, and no others;
 2. for the keys that cross a chunk edge (the lowest and highest key of each
    chunk, at most ``2n`` (key, chunk) pairs) aggregate per-chunk sums, counts
    and last values, and run the scan over those few rows;
@@ -33,7 +34,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendcast.session import ensure_checkpoint_dir
+from spendcast.session import pin
 
 _CHUNK = "_scan_chunk"
 _ALL = "_scan_all"
@@ -44,10 +45,9 @@ def _as_cols(xs: Sequence[Column | str]) -> list[Column]:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (in the session's checkpoint directory): cuts the
-    lineage before a result is read many times (medians, model fits)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Written table (in the session's checkpoint directory): cuts the lineage
+    before a result is read many times (medians, model fits)."""
+    return pin(df)
 
 
 def _sum_type(df: DataFrame, col: str):
@@ -60,12 +60,14 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
                 sums: Mapping[str, str] | None = None,
                 lags: Mapping[str, str] | None = None,
                 row_number: str | None = None,
-                method: str = "chunked", num_chunks: int | None = None) -> DataFrame:
+                method: str = "chunked", num_chunks: int | None = None,
+                keep: Sequence[str] | None = None) -> DataFrame:
     """Add running sums (``sums``: out -> input column), previous-row values
     (``lags``: out -> input column) and a 1-based ``row_number`` per key.
 
     ``order`` must be a total order within each key for sums and lags to be
-    deterministic.  ``keys=[]`` scans the whole table as one group.
+    deterministic.  ``keys=[]`` scans the whole table as one group.  ``keep``: the
+    columns of ``df`` in the result (all by default); others are not carried along.
     """
     sums = dict(sums or {})
     lags = dict(lags or {})
@@ -75,6 +77,11 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     if not keys:
         df = df.withColumn(_ALL, F.lit(0))
         keys = [_ALL]
+    if keep is not None:
+        made = {f"_scan_o{i}": o for i, o in enumerate(order)}
+        used = dict.fromkeys([*keep, *keys, *sums.values(), *lags.values()])
+        df = df.select(*used, *[o.alias(c) for c, o in made.items()])
+        order = _as_cols(list(made))
     key_ok = F.lit(True)
     for k in keys:
         key_ok = key_ok & F.col(k).isNotNull()
@@ -87,16 +94,14 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
         new.update({name: F.when(key_ok, F.lag(src, 1).over(w)) for name, src in lags.items()})
         if row_number:
             new[row_number] = F.when(key_ok, F.row_number().over(w).cast("long"))
-        return df.withColumns(new).drop(_ALL)
+        out = df.withColumns(new).drop(_ALL)
+        return out if keep is None else out.select(*keep, *new)
     if method != "chunked":
         raise ValueError(f"unknown method {method!r}")
 
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
-              .withColumn(_CHUNK, F.spark_partition_id())
-              .checkpoint(eager=True))
+    n = num_chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = pin(df.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                 .withColumn(_CHUNK, F.spark_partition_id()))
 
     key_struct = F.struct(*[F.col(k) for k in keys])
     edges = ranged.groupBy(_CHUNK).agg(F.min(key_struct).alias("_lo"),
@@ -132,14 +137,17 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     if row_number:
         new[row_number] = F.when(key_ok, F.coalesce(F.col("_o_n"), F.lit(0)) + rn)
     out = joined.withColumns(new)
+    if keep is not None:
+        return out.select(*keep, *new)
     helper = [c for c in out.columns if c.startswith(("_o_", "_c_"))] + [_CHUNK, _ALL]
     return out.drop(*helper)
 
 
 def running_sums(df: DataFrame, key: str | Sequence[str], cols: Mapping[str, str],
-                 order: Sequence[Column | str], method: str = "chunked") -> DataFrame:
+                 order: Sequence[Column | str], method: str = "chunked",
+                 keep: Sequence[str] | None = None) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    return prefix_scan(df, keys, order, sums=cols, method=method)
+    return prefix_scan(df, keys, order, sums=cols, method=method, keep=keep)
 
 
 def global_rank(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendcast.functions.codes import product_prefix
 from spendcast.functions.lookups import EU_FLAG, eu_flag
-from spendcast.functions.periods import epoch_seconds, history_before, prev_month
+from spendcast.functions.periods import add_months, epoch_seconds, history_before, prev_month
 from spendcast.operators import features as fe
 from spendcast.operators import stats as st
 from spendcast.operators.running import row_diffs, running_sums
@@ -127,6 +127,9 @@ def _sum_sql(spec: dict) -> str:
                      for o, s in spec.items())
 
 
+_ROW = ["order_id", "line_seq"]
+
+
 def _prepared(spark, sf_dir) -> DataFrame:
     """Fixture rows with the row-level columns the scans read."""
     df = tx(spark, sf_dir)
@@ -140,7 +143,7 @@ def _prepared(spark, sf_dir) -> DataFrame:
     _enriched_ctes(None)))
 def q_cumsum_customer(spark, sf_dir):
     spec = {k: v for k, v in fe.CUST_SUMS.items() if v != "post"}
-    out = running_sums(_prepared(spark, sf_dir), "customer_id", spec, order_cols())
+    out = running_sums(_prepared(spark, sf_dir), "customer_id", spec, order_cols(), keep=_ROW)
     return out.select("order_id", "line_seq", *_sum_cols(spec))
 
 
@@ -150,7 +153,7 @@ def q_cumsum_customer(spark, sf_dir):
     _enriched_ctes(None)))
 def q_cumsum_post(spark, sf_dir):
     spec = {"cumsum_post_by_cust_id": "post"}
-    out = running_sums(_prepared(spark, sf_dir), "customer_id", spec, order_cols())
+    out = running_sums(_prepared(spark, sf_dir), "customer_id", spec, order_cols(), keep=[*_ROW, "post"])
     return out.select("order_id", "line_seq", F.col("post").cast("decimal(38,2)").alias("post"),
                       *_sum_cols(spec))
 
@@ -159,14 +162,14 @@ def q_cumsum_post(spark, sf_dir):
     f"SELECT order_id, line_seq, product_prefix, {_sum_sql(fe.PROD_SUMS)} FROM enriched",
     _enriched_ctes(None)))
 def q_cumsum_product(spark, sf_dir):
-    out = running_sums(_prepared(spark, sf_dir), "product_prefix", fe.PROD_SUMS, order_cols())
+    out = running_sums(_prepared(spark, sf_dir), "product_prefix", fe.PROD_SUMS, order_cols(), keep=[*_ROW, "product_prefix"])
     return out.select("order_id", "line_seq", "product_prefix", *_sum_cols(fe.PROD_SUMS))
 
 
 @register("cumsum_order", with_tx(
     f"SELECT order_id, line_seq, {_sum_sql(fe.ORDER_SUMS)} FROM enriched", _enriched_ctes(None)))
 def q_cumsum_order(spark, sf_dir):
-    out = running_sums(_prepared(spark, sf_dir), "order_id", fe.ORDER_SUMS, order_cols())
+    out = running_sums(_prepared(spark, sf_dir), "order_id", fe.ORDER_SUMS, order_cols(), keep=_ROW)
     return out.select("order_id", "line_seq", *_sum_cols(fe.ORDER_SUMS))
 
 
@@ -175,7 +178,7 @@ def q_cumsum_order(spark, sf_dir):
     "CAST(price_diff AS DECIMAL(38,2)) AS price_diff, CAST(total_diff AS DECIMAL(38,2)) AS total_diff "
     "FROM enriched", _enriched_ctes(None)))
 def q_row_diffs(spark, sf_dir):
-    out = row_diffs(_prepared(spark, sf_dir), "customer_id", fe.DIFFS)
+    out = row_diffs(_prepared(spark, sf_dir), "customer_id", fe.DIFFS, keep=_ROW)
     return out.select("order_id", "line_seq", "order_ts_diff", "quantity_diff",
                       F.col("price_diff").cast("decimal(38,2)").alias("price_diff"),
                       F.col("total_diff").cast("decimal(38,2)").alias("total_diff"))
@@ -267,3 +270,43 @@ def q_scoring_set(spark, sf_dir):
     df = tx(spark, sf_dir)
     enriched = fe.enrich_rows(history_before(df, MONTH))
     return round_moments(fe.scoring_set(df, MONTH, THR, enriched, MAX_ROWS))
+
+
+_YEAR = [add_months(MONTH, -k) for k in range(12)]
+
+
+@register("training_set_year", with_tx(
+    " UNION ALL ".join(_months_sql(prev_month(m), f"_{k}") for k, m in enumerate(_YEAR)),
+    ",\n".join(feature_sql(prev_month(m), sfx=f"_{k}") for k, m in enumerate(_YEAR))))
+def q_training_set_year(spark, sf_dir):
+    """Twelve cuts out of one pass over the rows."""
+    return round_moments(fe.training_sets(tx(spark, sf_dir), _YEAR, THR, max_rows=MAX_ROWS))
+
+
+_SHORT = [(c, s) for c in fe.STAT_COLUMNS for s in fe.SEVEN_STATS]
+
+
+def _short_sql(which: str) -> str:
+    """The short training form: statistics before the label's month, medians of the
+    training set in place of missing values."""
+    pm = prev_month(MONTH)
+    parts = []
+    for x, m in (("train", pm), ("score", MONTH)):
+        aggs = ", ".join(f'{_stat_sql(c, s).replace("ROUND(", "(").replace(", 4)", ")").replace(", 6)", ")")} AS "{c}-{s}"' for c, s in _SHORT)
+        parts.append(f"""{x} AS (SELECT l.*, f.* EXCLUDE (customer_id) FROM ({_LABEL.format(m=m, thr=THR)}) l
+  LEFT JOIN (SELECT customer_id, {aggs} FROM transactions WHERE order_date < TIMESTAMP '{m}-01' GROUP BY customer_id) f
+    ON l.customer_id = f.customer_id)""")
+    digits = {"std": 4, "skew": 6}
+    filled = ", ".join((f'ROUND({v}, {digits[s]})' if s in digits else v) + f' AS "{c}-{s}"'
+                       for c, s in _SHORT for v in [f'COALESCE("{c}-{s}", (SELECT COALESCE(MEDIAN("{c}-{s}"), 0) FROM train))'])
+    return with_tx(f"SELECT customer_id, year_month, label, {filled} FROM {which}", ", ".join(parts))
+
+
+@register("stat_training_set", _short_sql("train"))
+def q_stat_training_set(spark, sf_dir):
+    return round_moments(fe.stat_datasets(tx(spark, sf_dir), MONTH, THR)[0])
+
+
+@register("stat_scoring_set", _short_sql("score"))
+def q_stat_scoring_set(spark, sf_dir):
+    return round_moments(fe.stat_datasets(tx(spark, sf_dir), MONTH, THR)[1])
