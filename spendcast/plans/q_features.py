@@ -15,9 +15,12 @@ from spendcast.functions.codes import product_prefix
 from spendcast.functions.lookups import EU_FLAG, eu_flag
 from spendcast.functions.periods import add_months, epoch_seconds, history_before, prev_month
 from spendcast.operators import features as fe
+from spendcast.operators import partials as pt
+from spendcast.operators import sketches as sk
 from spendcast.operators import stats as st
 from spendcast.operators.running import row_diffs, running_sums
 from spendcast.plans.base import MAX_ROWS, MONTH, PREV_MONTH, THR, register, tx, with_tx
+from spendcast.sources import sinks
 from spendcast.sources.transactions import order_cols
 
 ORD = "order_date, order_id, line_seq"
@@ -310,3 +313,45 @@ def q_stat_training_set(spark, sf_dir):
 @register("stat_scoring_set", _short_sql("score"))
 def q_stat_scoring_set(spark, sf_dir):
     return round_moments(fe.stat_datasets(tx(spark, sf_dir), MONTH, THR)[1])
+
+
+_QS = (0.01, 0.25, 0.5, 0.9, 0.99)
+
+
+@register("quantile_sketch", with_tx(
+    " UNION ALL ".join(f"SELECT CAST({q} AS DOUBLE) AS q, COUNT(total) AS n_rows, TRUE AS within_bound FROM transactions" for q in _QS)))
+def q_quantile_sketch(spark, sf_dir):
+    """Quantiles of line totals out of merged month sketches; the share of rows below and
+    up to each is counted against the bound."""
+    rows = tx(spark, sf_dir).withColumn("total", F.col("total").cast("double"))
+    whole = sk.merge_quantiles(sk.quantile_sketches(rows.withColumn("m", pt.month_index()), ["m"], "total"))
+    found = whole.select(F.struct(*[sk.sketch_quantile("sketch", q).alias(f"q{i}") for i, q in enumerate(_QS)])).scalar()
+    below = rows.agg(F.count("total").alias("n"), *[F.count(F.when(op(F.col("total"), found.getField(f"q{i}")), 1)).alias(f"{x}{i}")
+                                                    for i in range(len(_QS)) for x, op in (("lt", lambda a, b: a < b), ("le", lambda a, b: a <= b))])
+    bound = sk.rank_bound()
+    rank = F.explode(F.array(*[F.struct(F.lit(q).alias("q"), F.col("n").alias("n_rows"), (
+        (F.col(f"lt{i}") <= (q + bound) * F.col("n")) & (F.col(f"le{i}") >= (q - bound) * F.col("n"))).alias("within_bound"))
+        for i, q in enumerate(_QS)]))
+    return below.select(rank.alias("r")).select("r.*")
+
+
+@register("distinct_sketch", with_tx(
+    'SELECT customer_id, COUNT(DISTINCT order_id) AS orders, TRUE AS within_bound FROM transactions '
+    f"WHERE customer_id IS NOT NULL AND order_date < TIMESTAMP '{MONTH}-01' GROUP BY customer_id"))
+def q_distinct_sketch(spark, sf_dir):
+    """Orders per customer before a cut out of merged month sketches, against the exact count."""
+    rows = history_before(tx(spark, sf_dir), MONTH).where("customer_id is not null")
+    months = sk.distinct_sketches(rows.withColumn("m", pt.month_index()), ["customer_id", "m"], "order_id")
+    found = sk.merge_distinct(months, ["customer_id"]).select("customer_id", F.hll_sketch_estimate("sketch").alias("estimate"))
+    exact = rows.groupBy("customer_id").agg(F.count_distinct("order_id").alias("orders"))
+    near = F.abs(F.col("estimate") - F.col("orders")) <= F.greatest(F.lit(sk.distinct_bound()) * F.col("orders"), F.lit(0.5))
+    return exact.join(found, "customer_id").select("customer_id", "orders", near.alias("within_bound"))
+
+
+@register("sorted_rows", with_tx("SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS inversions FROM transactions"))
+def q_sorted_rows(spark, sf_dir):
+    """Order lines written in the order of customer and order, and read back to prove it."""
+    path = sinks.scratch_path(spark, "sorted-lines")
+    keys = ["customer_id", "order_id"]
+    sinks.write_sorted(tx(spark, sf_dir).select(*keys, "line_seq", "total"), path, keys)
+    return sinks.sort_inversions(spark, path, keys).select("rows", "inversions")
