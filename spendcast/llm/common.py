@@ -45,6 +45,19 @@ def keyed(docs: DataFrame) -> DataFrame:
     return base.select(F.xxhash64(F.lit("doc"), "doc_id", "text").alias("key"), "doc_id", "text")
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``row``, every row as one struct, so that no further column's name can clash, and
+    its ``key`` as in ``keyed``."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    return rows.withColumn("key", F.xxhash64(F.lit("doc"), F.col("row.doc_id").cast("long"), text))
+
+
+def unwrapped(rows: DataFrame, columns: list[str], new: dict | None = None) -> DataFrame:
+    """The columns of ``row``, those in ``new`` replaced."""
+    return rows.select(*[((new or {}).get(c, F.col(f"row.`{c}`"))).alias(c) for c in columns])
+
+
 def held_out() -> "F.Column":
     """The fold no label is learned from: crc32(doc_id as text) mod 5 = 0."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))

@@ -87,11 +87,13 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The documents without later copies; columns as they came.  Unrepeated rows
-    are only filtered; possibly repeated ones meet by hash."""
+    are only filtered; possibly repeated ones meet by hash.  Null texts count as empty
+    and equal; of equal rows one stays, a null doc_id counts as larger than any; an
+    empty table gives an empty result."""
     norm = normalised(F.col("text"))
     hashes = pin(docs.select(F.xxhash64(norm).alias("h")))
     m = _slot_count(hashes.count())
-    tagged = docs.select(F.struct(*docs.columns).alias("_doc"), F.xxhash64(norm).alias("h"))
+    tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.xxhash64(norm).alias("h"))
     probed = _probe(tagged, _filter(hashes, m), m)
     text, doc_id = F.coalesce(F.col("_doc.text").cast("string"), F.lit("")), F.col("_doc.doc_id").cast("long")
     maybe = pin(probed.where("maybe").select(

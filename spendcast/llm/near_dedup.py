@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, pin
+from .common import keyed, pin, unwrapped, whole_rows
 from .components import components
 from .repeats import MAX_ID
 from .textnum import Words, grams, mix, span, text_slices, windows, U
@@ -207,7 +207,5 @@ def decisions(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 def near_dedup(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """One document of each group of near copies (the smallest doc_id); columns
     as they came.  Documents without shingles stay."""
-    gone = pin(link_documents(docs, size).where("doc_id <> component_id").select(F.col("key").alias("_key")).distinct())
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.xxhash64(F.lit("doc"), F.col("doc_id").cast("long"), text)
-    return docs.withColumn("_key", key).join(gone, "_key", "left_anti").select(*docs.columns)
+    gone = pin(link_documents(docs, size).where("doc_id <> component_id").select("key").distinct())
+    return unwrapped(whole_rows(docs).join(gone, "key", "left_anti"), docs.columns)

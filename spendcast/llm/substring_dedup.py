@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, pin
+from .common import keyed, pin, unwrapped, whole_rows
 from .repeats import MAX_ID, Spec, cover, find_runs
 from .textnum import U, Words, grams, mix, text_slices
 
@@ -146,17 +146,14 @@ def substring_dedup(docs: DataFrame, size: int = SIZE) -> DataFrame:
     """The documents with later copies of repeated spans cut out of ``text``;
     ``n_chars``, if present, follows.  A cut text is its kept words joined by one
     space; documents that lose nothing keep theirs, null included."""
-    found = repeated_spans(docs, size).withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    with_key = docs.withColumn("_key", F.xxhash64(F.lit("doc"), F.col("doc_id").cast("long"), text))
-    joined = with_key.join(found, "_key", "left")
-    cut = _cut_text(F.col("text"), F.col("_spans"))
-    out = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut))
+    joined = whole_rows(docs).join(repeated_spans(docs, size), "key", "left")
+    text, whole = F.col("row.text"), F.col("spans").isNull()
+    cut = F.when(whole, text).otherwise(_cut_text(text, F.col("spans")))
+    joined = joined.select("row", whole.alias("whole"), cut.alias("cut"))
+    new = {"text": F.col("cut")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars"))
-                             .otherwise(F.length("text").cast(kind)))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("whole"), F.col("row.n_chars")).otherwise(F.length("cut").cast(docs.schema["n_chars"].dataType))
+    return unwrapped(joined, docs.columns, new)
 
 
 def _cut_text(text, spans):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, pin, shuffle_partitions
+from .common import keyed, pin, shuffle_partitions, unwrapped, whole_rows
 from .repeats import MAX_ID, Spec, View, cover, find_runs, seeds
 from .textnum import U, mix, span, text_slices
 
@@ -257,10 +257,7 @@ def digests(docs: DataFrame, size: int = SIZE, keep: str = "none") -> DataFrame:
 def suffix_dedup(docs: DataFrame, size: int = SIZE, keep: str = "first") -> DataFrame:
     """The documents with repeated byte strings cut out of ``text``; characters
     that a cut splits go with it.  Other columns stay as they are."""
-    found = (repeated_spans(docs, size, keep)
-             .withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.withColumn("_key", F.xxhash64(F.lit("doc"), F.col("doc_id").cast("long"), text)).join(found, "_key", "left")
+    joined = whole_rows(docs).join(repeated_spans(docs, size, keep), "key", "left")
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -272,5 +269,6 @@ def suffix_dedup(docs: DataFrame, size: int = SIZE, keep: str = "first") -> Data
             out.append(t)
         return pa.array(out, pa.string())
 
-    out = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut("text", "_spans")))
-    return out.select(*docs.columns)
+    text = F.col("row.text")
+    new = F.when(F.col("spans").isNull(), text).otherwise(cut(text, F.col("spans")))
+    return unwrapped(joined.select("row", new.alias("cut")), docs.columns, {"text": F.col("cut")})

@@ -371,3 +371,16 @@ def test_pipeline(spark):
             assert all(hashlib.sha256(" ".join(after[i].encode().decode().split(" ")).encode()).hexdigest() == w[2]
                        for i, w in want.items() if w[1])
     assert corpus_pipeline.run(spark, SF).where(F.col("length") > 0).count() >= step.count()
+
+
+@pytest.mark.parametrize("apply", [near_dedup.near_dedup, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, exact_dedup.exact_dedup])
+def test_further_columns_come_back_as_they_were(spark, apply):
+    names = ["_key", "_spans", "key", "spans", "row", "whole", "cut", "set", "n", "a.b"]
+    copy = " ".join(f"word{i}" for i in range(120))
+    rows = [(1, copy, *names), (2, copy + " more", *names), (3, None, *names), (4, "", *names), (5, "alone", *names), (5, "alone", *names), (None, copy, *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    out = apply(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert got and all(list(r)[2:] == names for r in got)
+    assert {r.doc_id for r in got} >= {1, 3, 5} and apply(docs.limit(0)).count() == 0
