@@ -1,25 +1,24 @@
 """SentencePiece (BPE) encoding with seeded merge-dropout, and decoding.
 
 Merges come from an agenda, best score first, then leftmost; each candidate is
-skipped by a hash keyed with seed, document, place of the chunk and place of the
-merge, so a seed always gives the same segmentation, other seeds give others, and
-a word that comes again is cut anew.  A worker keeps the merge candidates of
-frequent chunks, and what each set of skipped candidates leads to.  Every
-segmentation decodes to the text.
+skipped by a hash keyed with seed, document and the places in the text where it
+begins and ends, so a seed always gives the same segmentation, other seeds give
+others, and a word that comes again is cut anew.  The agendas of many chunks
+advance together: one step merges the head of every chunk's agenda, as array
+operations over a block of chunks of like length, so no cache of words is needed
+and memory is that of a block.  Long chunks have a heap each.  Every segmentation
+decodes to the text.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import id_text
 from .textnum import U, mix
@@ -28,22 +27,64 @@ MODEL = "piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 1
 _SPACE = "▁"
-_CACHE_MOST = 400_000  # segmentations, and eights of candidates, that a worker keeps, some 300 MB
-_SHORT = 48  # symbols up to which a plain row beats a heap
-_NONE = float("inf")
-_CHUNK = re.compile("\n|▁+[^▁\n]*|[^▁\n]+")
+_MARK, _BLANK, _LINE = ord(_SPACE), ord(" "), ord("\n")
+SLICE = 1 << 18  # characters of whole texts encoded at once
+_CELLS = 1 << 16  # symbols of a block
+_WIDTHS = (2, 4, 8, 16, 32, 64)  # of blocks; longer chunks take a heap
+_NONE = np.int32(2**31 - 1)
 _MASK = (1 << 64) - 1
 _ODDS_BITS = 16  # of the dropout, as a binary fraction
+_LO, _HI = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # keys of a candidate's first place and of its end
+
+
+class Table:
+    """Numbers of pairs of symbols, as an open-addressing table in arrays."""
+
+    def __init__(self, pairs: dict[int, int]):
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.last = U(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, _MASK, np.uint64), np.full(1 << bits, -1, np.int32)
+        keys, values = np.fromiter(pairs.keys(), np.uint64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
+        slot = self._slot(keys)
+        while len(keys):
+            free = self.keys[slot] == U(_MASK)
+            _, at = np.unique(np.where(free, slot, -1), return_index=True)  # one key for each free slot
+            at = at[free[at]]
+            self.keys[slot[at]], self.values[slot[at]] = keys[at], values[at]
+            left = np.ones(len(keys), bool)
+            left[at] = False
+            keys, values, slot = keys[left], values[left], slot[left]
+            slot = np.where(self.keys[slot] == U(_MASK), slot, slot + 1 & self.last)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * U(_LO) >> self.shift).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers of ``keys`` (uint64); -1 for others."""
+        slot = self._slot(keys)
+        have = self.keys[slot]
+        out = np.where(have == keys, self.values[slot], np.int32(-1))
+        on = np.flatnonzero((have != keys) & (have != U(_MASK)))
+        while len(on):
+            slot[on] = slot[on] + 1 & self.last
+            have = self.keys[slot[on]]
+            hit = have == keys[on]
+            out[on[hit]] = self.values[slot[on[hit]]]
+            on = on[~hit & (have != U(_MASK))]
+        return out
 
 
 class Pieces:
-    """Vocabulary of a model file: merges with their scores, and id to bytes."""
+    """Vocabulary of a model file: its merges by score, and ids to bytes.
+
+    Symbols are ids of the model; characters inside pieces that are no piece
+    themselves get numbers after them, and ``other`` stands for all the rest."""
 
     def __init__(self, path: str):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.merges, self.byte, self.bytes = {}, [0] * 256, []
-        for i in range(sp.get_piece_size()):
+        self.size, self.merges, self.byte, self.bytes = sp.get_piece_size(), {}, np.zeros(256, np.uint32), []
+        for i in range(self.size):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 b = int(piece[1:-1], 16)
@@ -55,165 +96,198 @@ class Pieces:
                 self.merges[piece] = (-sp.get_score(i), i)
                 self.bytes.append(piece.replace(_SPACE, " ").encode())
         self.longest = max(map(len, self.merges), default=0)
-        #: Neighbouring characters of all pieces; no merge reaches across others.
-        self.inside = {piece[i:i + 2] for piece in self.merges for i in range(len(piece) - 1)}
-
-    def atoms(self, chunk: str) -> list[str]:
-        """The chunk cut where no piece holds the characters on both sides."""
-        inside, out, lo = self.inside, [], 0
-        for i in range(1, len(chunk)):
-            if chunk[i - 1:i + 1] not in inside:
-                out.append(chunk[lo:i])
-                lo = i
-        out.append(chunk[lo:])
-        return out
+        symbols = {p: i for p, (_, i) in self.merges.items()}
+        for c in sorted({c for p in self.merges for c in p} - symbols.keys()):
+            symbols[c] = self.size + len(symbols) - len(self.merges)
+        self.other = self.size + len(symbols) - len(self.merges)
+        self.many = U(self.other + 1)
+        self.of_char = np.full(0x110000, self.other, np.int32)
+        self.rank = np.zeros(self.size, np.int32)
+        ids = [i for _, i in self.merges.values()]
+        self.rank[ids] = np.unique([cost for cost, _ in self.merges.values()], return_inverse=True)[1]
+        pairs, inside = {}, {}
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
+        for p, (_, whole) in self.merges.items():
+            for k in range(1, len(p)):
+                inside[symbols[p[k - 1]] * int(self.many) + symbols[p[k]]] = 1
+                if (a := symbols.get(p[:k])) is not None and (b := symbols.get(p[k:])) is not None:
+                    pairs[a * int(self.many) + b] = whole
+        #: What two symbols merge to; neighbouring characters of all pieces, for no merge reaches across others.
+        self.pairs, self.inside = Table(pairs), Table(inside)
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+
+    def keys(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left.astype(np.uint64) * self.many + right.astype(np.uint64)
+
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The UTF-8 bytes of ids; the space put before a text is taken off."""
+        n = self.lengths[ids]
+        at = np.repeat(self.starts[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        data = self.blob[at].tobytes()
+        return data[1:] if data[:1] == b" " else data
 
-    def candidates(self, chunk: str) -> list[tuple[int, int, float]]:
-        """Merges that the chunk may see: first and last place, cost."""
-        get, n, most = self.merges.get, len(chunk), self.longest
-        out = []
-        for i in range(n - 1):
-            for j in range(i + 2, min(n, i + most) + 1):
-                if (m := get(chunk[i:j])) is not None:
-                    out.append((i, j, m[0]))
-        return out
+    def decode(self, ids) -> str:
+        return self.decoded(np.asarray(ids, np.int64)).decode()
 
-    def segment(self, chunk: str, candidates, skipped: int) -> list[int]:
-        """Ids of a chunk; bit k of ``skipped`` takes candidate k out."""
-        if skipped:
-            candidates = [c for k, c in enumerate(candidates) if not skipped >> k & 1]
-        live = {(i, j): cost for i, j, cost in candidates}
-        edges = (self._short if len(chunk) <= _SHORT else self._long)(len(chunk), live)
-        out, get = [], self.merges.get
-        for i, j in zip(edges, edges[1:]):
-            s = chunk[i:j]
-            m = get(s)
-            out.append(m[1]) if m else out.extend([self.byte[b] for b in s.encode()])
-        return out
 
-    @staticmethod
-    def _short(n: int, live: dict) -> list[int]:
-        """The agenda as a row of costs: its least, leftmost entry is next."""
-        get, edges = live.get, list(range(n + 1))
-        costs = [get((i, i + 2), _NONE) for i in range(n - 1)]
-        costs.append(_NONE)  # behind the last symbol
-        while (cost := min(costs)) != _NONE:
-            i = costs.index(cost)
-            del edges[i + 1], costs[i + 1]
-            costs[i] = get((edges[i], edges[i + 2]), _NONE) if i + 2 < len(edges) else _NONE
-            if i:
-                costs[i - 1] = get((edges[i - 1], edges[i + 1]), _NONE)
-        return edges
-
-    @staticmethod
-    def _long(n: int, live: dict) -> list[int]:
-        """The agenda as a heap; the same result in n log n steps."""
-        before, after = list(range(-1, n)), list(range(1, n + 2))  # of the symbol that begins at a place
-        agenda = [(cost, i, i + 1, j) for (i, j), cost in live.items() if j == i + 2]
-        heapq.heapify(agenda)
-        gone = bytearray(n + 1)
-
-        def offer(i):
-            j = after[i]
-            if j < n and (cost := live.get((i, after[j]))) is not None:
-                heapq.heappush(agenda, (cost, i, j, after[j]))
-
-        while agenda:
-            _, i, j, k = heapq.heappop(agenda)
-            if gone[i] or gone[j] or after[i] != j or after[j] != k:
-                continue
-            gone[j] = 1
-            after[i] = k
-            if k < n:
-                before[k] = i
-                offer(i)
-            if before[i] >= 0:
-                offer(before[i])
-        return [i for i in range(n) if not gone[i]] + [n]
-
-    def decode(self, ids) -> str:
-        """The text of ids; the space put before it is taken off."""
-        data = b"".join(self.bytes[i] for i in ids)
-        return (data[1:] if data[:1] == b" " else data).decode()
+def _mix(h: int) -> int:
+    """``textnum.mix`` of one number."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        h ^= h >> 33
+        h = h * factor & _MASK
+    return h ^ h >> 33
 
 
 class Encoder:
     def __init__(self, path: str, dropout: float = DROPOUT, seed: int = SEED):
         self.pieces, self.seed = Pieces(path), seed
         self.odds = round(dropout * (1 << _ODDS_BITS))
-        self.marks = np.array([self.pieces.byte[b] for b in _SPACE.encode()], "<u4").tobytes()
-        self.known: dict[str, tuple] = {}  # chunk -> mask, its atoms, results by skipped candidates
-        self.kept = 0
-
-    def bits(self, keys: np.ndarray) -> np.ndarray:
-        """64 independent bits for every key, each set with the odds of a skip."""
-        out = np.zeros(len(keys), np.uint64)
-        if self.odds >> _ODDS_BITS:
-            return ~out
-        with np.errstate(over="ignore"):
-            for k in range(_ODDS_BITS):
-                if not self.odds >> k:
-                    break
-                r = mix(keys + U((k + 1) * 0x9E3779B97F4A7C15 & _MASK))
-                out = out | r if self.odds >> k & 1 else out & r
-        return out
-
-    def _chunk(self, chunk: str) -> tuple:
-        # words that end in a letter rarely come apart
-        atoms = [chunk] if chunk[-1].isalpha() else self.pieces.atoms(chunk)
-        parts, n = [], 0
-        for a in atoms:
-            c = self.pieces.candidates(a)
-            parts.append((a, c, n, (1 << len(c)) - 1))
-            n += len(c)
-        self.kept += 1 + n // 8
-        found = self.known[chunk] = (1 << n) - 1, parts, {}
-        return found
-
-    def _segment(self, known: tuple, skipped: int) -> tuple[bytes, bytes]:
-        ids = []
-        for atom, candidates, at, mask in known[1]:
-            ids += self.pieces.segment(atom, candidates, skipped >> at & mask)
-        found = array("I", ids).tobytes(), b"".join([self.pieces.bytes[i] for i in ids])
-        if known[0] <= _MASK:  # others hardly ever come again
-            known[2][skipped] = found
-            self.kept += 1
-        return found
 
     def stream_of(self, doc_id) -> int:
         """Every document has a stream of its own: 64 bits of a keyed hash of its id."""
         return int.from_bytes(hashlib.blake2b(f"{self.seed} {doc_id}".encode(), digest_size=8).digest(), "little")
 
-    def __call__(self, text: str, doc_id) -> tuple[bytes, bytes]:
-        """Ids as little-endian 32-bit bytes, and what they decode to."""
-        if not text:
-            return b"", b""
-        chunks = []
-        for k, part in enumerate(text.split(_SPACE)):  # a mark in the text itself goes by its bytes
-            if k:
-                chunks.append(None)
-            part = part.replace(" ", _SPACE) if k else _SPACE + part.replace(" ", _SPACE)
-            chunks += _CHUNK.findall(part)
-        if self.kept >= _CACHE_MOST:
-            self.known.clear()
-            self.kept = 0
-        keys = mix(np.arange(len(chunks), dtype=np.uint64) * U(0xD6E8FEB86659FD93) + U(self.stream_of(doc_id)))
-        ids, back, get = [], [], self.known.get
-        for place, (chunk, skipped) in enumerate(zip(chunks, self.bits(keys).tolist())):
-            if chunk is None:
-                ids.append(self.marks)
-                back.append(_SPACE.encode())
+    def skips(self, stream: int, lo: int, hi: int) -> bool:
+        """Whether the candidate that covers the places lo to hi of a text is skipped."""
+        return _mix(stream + lo * _LO + hi * _HI & _MASK) >> 64 - _ODDS_BITS < self.odds
+
+    def _taken(self, base: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """``skips``, denied, for arrays; places count from those in ``base``."""
+        h = mix(base + lo.astype(np.uint64) * U(_LO) + hi.astype(np.uint64) * U(_HI))
+        return (h >> U(64 - _ODDS_BITS)).astype(np.int64) >= self.odds
+
+    def _block(self, symbols: np.ndarray, ends: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """Runs the agendas of the rows of ``symbols`` (one column more than the
+        longest chunk, ``other`` behind each) in place; returns which are gone."""
+        rows, width = symbols.shape
+        sym, pieces = symbols.reshape(-1), self.pieces
+        after = np.tile(np.arange(1, width + 1), (rows, 1)).reshape(-1)
+        before = after - 2
+        cost, whole = np.full((rows, width), _NONE), np.zeros(rows * width, np.int32)
+        flat, gone = cost.reshape(-1), np.zeros(rows * width, bool)
+
+        def offer(at, right, row, lo, hi):
+            merged = pieces.pairs.get(pieces.keys(sym[at], sym[right]))
+            f = np.flatnonzero(merged >= 0)
+            f = f[self._taken(base[row[f]], lo[f], hi[f])]
+            flat[at[f]], whole[at[f]] = pieces.rank[merged[f]], merged[f]
+
+        at = np.flatnonzero((np.arange(width) < ends[:, None] - 1).reshape(-1))
+        offer(at, at + 1, at // width, at % width, at % width + 2)
+        live = np.arange(rows)
+        while len(live):
+            sub = cost[live]
+            i = sub.argmin(1)
+            on = sub[np.arange(len(live)), i] < _NONE
+            if not on.all():
+                live, i = live[on], i[on]
+            row = live * width
+            p = row + i
+            q = row + after[p]
+            k = after[q]
+            e = row + k
+            sym[p], after[p], before[e], gone[q] = whole[p], k, i, True
+            flat[p] = flat[q] = _NONE
+            has = np.flatnonzero(before[p] >= 0)
+            left = before[p[has]]
+            flat[row[has] + left] = _NONE
+            offer(np.concatenate([p, row[has] + left]), np.concatenate([e, p[has]]), np.concatenate([live, live[has]]),
+                  np.concatenate([i, left]), np.concatenate([after[e], k[has]]))
+        return gone.reshape(rows, width)
+
+    def _long(self, chunk: str, stream: int, lo: int) -> list[tuple[int, int]]:
+        """Place and id of the merged symbols of one long chunk, and (place, -1) of
+        those that a merge took in; the agenda as a heap."""
+        n, get, most = len(chunk), self.pieces.merges.get, self.pieces.longest
+        before, after, whole, agenda = list(range(-1, n)), list(range(1, n + 2)), {}, []
+
+        def offer(i):
+            j = after[i]
+            if j < n and after[j] - i <= most and (m := get(chunk[i:after[j]])) and not self.skips(stream, lo + i, lo + after[j]):
+                heapq.heappush(agenda, (m[0], i, j, after[j], m[1]))
+
+        for i in range(n - 1):
+            offer(i)
+        while agenda:
+            _, i, j, k, merged = heapq.heappop(agenda)
+            if whole.get(i) == -1 or whole.get(j) == -1 or after[i] != j or after[j] != k:
                 continue
-            known = get(chunk) or self._chunk(chunk)
-            mask = known[0]
-            if mask > _MASK:  # more candidates than bits
-                more = np.arange(1, (mask.bit_length() + 63) // 64, dtype=np.uint64) * U(0xA0761D6478BD642F)
-                skipped |= int.from_bytes(self.bits(mix(keys[place] + more)).astype("<u8").tobytes(), "little") << 64
-            skipped &= mask
-            a, b = known[2].get(skipped) or self._segment(known, skipped)
-            ids.append(a)
-            back.append(b)
-        return b"".join(ids), b"".join(back)[1:]
+            whole[i], whole[j], after[i] = merged, -1, k
+            if k < n:
+                before[k] = i
+                offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return list(whole.items())
+
+    def __call__(self, texts: list[str], doc_ids: list) -> list[np.ndarray]:
+        """Ids of every text."""
+        full = [t for t in texts if t]
+        if not full:
+            return [np.zeros(0, np.int64) for _ in texts]
+        pieces = self.pieces
+        joined = "".join([" " + t for t in full])
+        char = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        first = np.cumsum([0] + [len(t) + 1 for t in full])
+        stream = np.array([self.stream_of(d) for t, d in zip(texts, doc_ids) if t], np.uint64)
+        mark, blank, line = char == _MARK, char == _BLANK, char == _LINE
+        sym = pieces.of_char[np.where(blank, _MARK, char)]
+        sym[mark] = pieces.other  # a mark in the text itself goes by its bytes
+        cut = np.ones(len(char) + 1, bool)
+        cut[1:-1] = line[1:] | line[:-1] | blank[1:] & ~blank[:-1] | (pieces.inside.get(pieces.keys(sym[:-1], sym[1:])) < 0)
+        cut[first] = True
+        start = np.flatnonzero(cut)
+        start, n = start[:-1], np.diff(start)
+        gone = np.zeros(len(char), bool)
+        doc = np.searchsorted(first, start, "right") - 1
+        place = start - first[doc]
+        base = stream[doc] + place.astype(np.uint64) * U(_LO + _HI & _MASK)
+        least = 1
+        for w in _WIDTHS:
+            of_width = np.flatnonzero((n > least) & (n <= w))
+            least, step = w, max(1, _CELLS // (w + 1))
+            for b in range(0, len(of_width), step):
+                c = of_width[b:b + step]
+                at, filled = start[c][:, None] + np.arange(w + 1), np.arange(w + 1) < n[c][:, None]
+                block = np.where(filled, sym[np.minimum(at, len(sym) - 1)], np.int32(pieces.other))
+                out = self._block(block, n[c], base[c])
+                at = at[filled]
+                sym[at], gone[at] = block[filled], out[filled]
+        for c in np.flatnonzero(n > least).tolist():
+            lo = int(start[c])
+            for i, merged in self._long(joined[lo:lo + int(n[c])].replace(" ", _SPACE), int(stream[doc[c]]), int(place[c])):
+                if merged < 0:
+                    gone[lo + i] = True
+                else:
+                    sym[lo + i] = merged
+        at = np.flatnonzero(~gone)
+        left = sym[at]
+        raw = left >= pieces.size  # characters that go by their bytes
+        spelt = np.where(blank[at[raw]], _MARK, char[at[raw]]).astype("<u4")
+        many = np.ones(len(at) + 1, np.int64)
+        many[:-1][raw] = 1 + (spelt >= 0x80) + (spelt >= 0x800) + (spelt >= 0x10000)
+        to = np.cumsum(many) - many
+        ids = np.empty(to[-1], np.int64)
+        ids[to[:-1][~raw]] = left[~raw]
+        if raw.any():
+            k = many[:-1][raw]
+            ids[np.repeat(to[:-1][raw] - (np.cumsum(k) - k), k) + np.arange(k.sum())] = pieces.byte[
+                np.frombuffer(spelt.tobytes().decode("utf-32-le").encode(), np.uint8)]
+        parts = iter(np.split(ids, to[np.searchsorted(at, first[1:-1])]))
+        return [next(parts) if t else np.zeros(0, np.int64) for t in texts]
+
+    def slices(self, texts: list[str], doc_ids: list):
+        """Ids of every text in turn, slice by slice of whole texts."""
+        lo = size = 0
+        for hi, t in enumerate(texts, 1):
+            size += len(t)
+            if size >= SLICE or hi == len(texts):
+                yield from self(texts[lo:hi], doc_ids[lo:hi])
+                lo, size = hi, 0
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -238,8 +312,7 @@ def encode(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model: s
     def run(batches):
         enc = encoder(model, dropout, seed)
         for batch in batches:
-            ids = [np.frombuffer(enc(t, d)[0], "<u4").astype(np.int32)
-                   for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
+            ids = [i.astype(np.int32) for i in enc.slices(batch.column("text").to_pylist(), batch.column("doc_id").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
@@ -263,10 +336,11 @@ def digests(docs: DataFrame, dropout: float = DROPOUT, seed: int = SEED, model:
     def run(batches):
         enc = encoder(model, dropout, seed)
         for batch in batches:
-            out = []
-            for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids, back = enc(t, d)
-                out.append((enc.stream_of(d) >> 33, len(ids) // 4, zlib.crc32(ids), hashlib.sha256(back).hexdigest(), back == t.encode()))
+            out, doc_ids, texts = [], batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for d, t, ids in zip(doc_ids, texts, enc.slices(texts, doc_ids)):
+                back = enc.pieces.decoded(ids)
+                out.append((enc.stream_of(d) >> 33, len(ids), zlib.crc32(ids.astype("<u4").tobytes()),
+                            hashlib.sha256(back).hexdigest(), back == t.encode()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id")] + [pa.array([o[k] for o in out], t) for k, t in enumerate(
                     (pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))],
