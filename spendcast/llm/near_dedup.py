@@ -10,9 +10,11 @@
    filters pairs and the exact Jaccard of the full sets confirms them.
    (Step 3 takes both ends of a list, its smallest and its greatest document.)
 4. Documents of lists that then still span several components meet across them by
-   the rarest items of their full sets, an exact bound, and pass the same filter
-   and check.  So a group of thousands of copies costs its size, not its square,
-   and no link between components is lost.
+   the rarest items of their full sets.  A pair leaves that join only if three bounds
+   allow 0.75: the places of the shared item, the parity bitmaps of the full sets
+   (both exact) and the estimate.  So a group of thousands of copies costs its size,
+   near copies below the threshold are told apart inside the join, and no link
+   between components is lost.
 
 For sets above K shingles ``need`` is statistical: a pair at the threshold misses
 it with a chance of about 3e-8.  Smaller sets are exact.
@@ -39,6 +41,8 @@ NEED = 28
 NUM, DEN = 75, 100
 #: Bytes of text hashed at once; bounds a worker's memory, not its results.
 SLICE = 1 << 19
+#: Longs in the parity bitmap of a full set.
+LONGS = 16
 
 
 def _sets(words: Words, size: int):
@@ -81,14 +85,23 @@ def _sketches(size: int, k: int):
     return run
 
 
+def _parities(h: np.ndarray, row: np.ndarray, rows: int) -> pa.Array:
+    """Per row, whether each bit's count of items is odd.  Two bitmaps differ in at
+    most as many bits as the sets differ in items."""
+    bit = (h.view(np.uint64) >> U(64 - (64 * LONGS - 1).bit_length())).astype(np.int64)
+    odd = np.bincount(row * (64 * LONGS) + bit, minlength=rows * 64 * LONGS).astype(np.uint8) & 1
+    packed = np.packbits(odd, bitorder="little").view(np.int64).reshape(rows, LONGS)
+    return pa.StructArray.from_arrays([pa.array(packed[:, k]) for k in range(LONGS)], names=[f"l{k}" for k in range(LONGS)])
+
+
 def _full_sets(size: int):
     def run(batches):
         for batch in batches:
             for lo, hi, buf, off in text_slices(batch.column("text"), SLICE):
                 h, row = _sets(Words(buf, off, lower=True), size)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("set").slice(lo, hi - lo), _lists(h, np.searchsorted(row, np.arange(hi - lo + 1)))],
-                    names=["set", "items"])
+                    [batch.column("set").slice(lo, hi - lo), _lists(h, np.searchsorted(row, np.arange(hi - lo + 1))),
+                     _parities(h, row, hi - lo)], names=["set", "items", "odd"])
     return run
 
 
@@ -125,26 +138,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
             .where(DEN * F.col("x") >= NUM * (F.col("n_a") + F.col("n_b") - F.col("x"))).select("a", "b"))
 
 
+def _reach(most: Column) -> Column:
+    """Whether ``most`` shared items are enough for the sizes n_a and n_b."""
+    return (DEN + NUM) * most >= NUM * (F.col("n_a") + F.col("n_b"))
+
+
 def _across(rest: DataFrame, sets: DataFrame, full: DataFrame) -> DataFrame:
-    """Pairs of sets of different components that may be similar: both hold one
-    of the n - 0.75 n + 1 rarest items of either.  This bound on the full sets is
-    exact, and a passage that many texts share is not among a text's rarest
-    quarter unless it is nearly all of it.  The join itself applies the estimate,
-    so it puts out only pairs that are likely."""
+    """Pairs of sets of different components that may be similar.
+
+    Items are ordered from the rarest on.  If the first that two sets share has p
+    items before it in a set of n, they share at most n - p; so it is among the
+    first n - 6/7 n + 1 of the smaller set (the pair needs 3/7 of both sizes) and
+    the first n - 3/4 n + 1 of the greater, and the join compares the rest for the
+    sizes at hand.  Then the parity bitmaps bound the difference of the sets.  Both
+    are exact.  The estimate comes last, so the join puts out only likely pairs."""
     items = full.join(rest, "set").select("set", "n", "c", F.explode("items").alias("item"))
     shared = pin(items.groupBy("item").agg(F.count(F.lit(1)).alias("df"), (F.min("c") != F.max("c")).alias("open")).where("df > 1"))
     ranked = (items.join(shared, "item").groupBy("set", "n", "c")
               .agg(F.sort_array(F.collect_list(F.struct("df", "item", "open"))).alias("vs")))
-    kept = (F.size("vs") - F.ceil(F.col("n") * NUM / DEN) + 1).cast("int")  # items of one set alone come first
-    lists = pin(ranked.withColumn("kept", kept).where("kept > 0")
-                .select("set", "n", "c", F.explode(F.slice("vs", F.lit(1), F.col("kept"))).alias("e")).where("e.open")
-                .select("set", "n", "c", "e.item"))
+    # items of one set alone come first, so the k-th of vs (from 0) leaves size(vs) - k items
+    kept = (F.size("vs") - F.ceil(F.col("n") * NUM / DEN) + 1).cast("int")
+    lists = pin(ranked.withColumn("m", F.size("vs")).withColumn("kept", kept).where("kept > 0")
+                .select("set", "n", "c", "m", F.posexplode(F.slice("vs", F.lit(1), F.col("kept"))).alias("k", "e")).where("e.open")
+                .select("e.item", "set", "n", "c", (F.col("m") - F.col("k")).alias("left")))
     spread = lists.groupBy("item").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("item")
-    met = lists.join(pin(spread), "item").join(sets.select("set", "sketch"), "set")
-    left, right = (met.select("item", F.col("set").alias(x), F.col("n").alias(f"n_{x}"), F.col("c").alias(f"c_{x}"),
-                              F.col("sketch").alias(f"k_{x}")) for x in ("a", "b"))
-    fits = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b")
-    return (left.join(right, "item").where(F.when(fits, _likely()).otherwise(F.lit(False))).select("a", "b").distinct())
+    met = lists.join(pin(spread), "item").join(sets.select("set", "sketch"), "set").join(full.select("set", "odd"), "set")
+    side = lambda x: met.select("item", F.col("set").alias(x), F.col("c").alias(f"c_{x}"), F.col("n").alias(f"n_{x}"),
+                                F.col("left").alias(f"left_{x}"), F.col("odd").alias(f"odd_{x}"), F.col("sketch").alias(f"k_{x}"))
+    small = side("a").where((DEN + NUM) * F.col("left_a") >= 2 * NUM * F.col("n_a"))
+    ordered = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    fits = ordered & (F.col("c_a") != F.col("c_b")) & _sizes_fit("n_a", "n_b") & _reach(F.least("left_a", "left_b"))
+    differ = F.bit_count(F.col("odd_a.l0").bitwiseXOR(F.col("odd_b.l0")))
+    for i in range(1, LONGS):
+        differ += F.bit_count(F.col(f"odd_a.l{i}").bitwiseXOR(F.col(f"odd_b.l{i}")))
+    # sets that differ in d items share (n_a + n_b - d) / 2
+    near = (DEN + NUM) * (F.col("n_a") + F.col("n_b") - differ) >= 2 * NUM * (F.col("n_a") + F.col("n_b"))
+    test = F.when(fits, F.when(near, _likely()).otherwise(F.lit(False))).otherwise(F.lit(False))
+    return small.join(side("b"), "item").where(test).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -174,7 +204,7 @@ def link_documents(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     # full sets of the documents that meet another in some list
     asked = lists.join(heads, "v").select("set", "key").distinct()
     full = pin(base.select("key", "text").join(asked, "key").dropDuplicates(["set"]).select("set", "text")
-               .mapInArrow(_full_sets(size), "set long, items array<long>"))
+               .mapInArrow(_full_sets(size), f"set long, items array<long>, odd struct<{', '.join(f'l{k}: long' for k in range(LONGS))}>"))
     ends = lists.join(heads, "v").select("set", "n", F.explode(F.array("lo", "hi")).alias("h"))
     first = pin(ends.where((F.col("set") != F.col("h.set")) & _sizes_fit("n", "h.n"))
                 .select(F.col("h.set").alias("a"), F.col("set").alias("b")).distinct())

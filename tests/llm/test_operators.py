@@ -385,6 +385,40 @@ def test_merge_dropout_long_text():
     assert enc.pieces.decode(b) == text and enc.pieces.decode(a) == "before" and enc.pieces.decode(c) == "after"
 
 
+def test_near_copies_on_both_sides_of_the_threshold(spark):
+    """A group of near copies, most of them a little below the threshold, some in chains above
+    it, of unlike lengths: components as brute force finds them."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(160)]
+
+    def changed(words, k):
+        words = list(words)
+        for i in rng.sample(range(len(words)), k):
+            words[i] = f"x{rng.randrange(10**6)}"
+        return words[:len(words) - rng.randrange(25)]
+
+    group = [changed(base, rng.choice([3, 4, 5])) for _ in range(250)]
+    group += [changed(rng.choice(group), rng.choice([1, 2, 3, 4])) for _ in range(150)]
+    texts = [(i, " ".join(w)) for i, w in enumerate(group)] + [(len(group), " ".join(base))]
+    want = brute.op2(texts)
+    rows = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_dedup.decisions(_frame(spark, texts)).collect()}
+    assert rows == {i: tuple(w) for i, w in want.items()}
+    assert 1 < len({w[1] for w in want.values()}) < len(texts)
+
+
+def test_parity_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(-2**63, 2**63 - 1, n)) for n in (1, 40, 700)]
+    sets += [np.unique(np.concatenate([s[::2], rng.integers(-2**63, 2**63 - 1, 7)])) for s in sets]
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    odd = near_dedup._parities(np.concatenate(sets), row, len(sets) + 1).to_pylist()
+    assert not any(odd[-1].values())
+    for a, x in zip(sets, odd):
+        for b, y in zip(sets, odd):
+            bits = sum(((x[k] ^ y[k]) & (1 << 64) - 1).bit_count() for k in x)
+            assert bits <= len(np.setxor1d(a, b)) and bits % 2 == len(np.setxor1d(a, b)) % 2
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
