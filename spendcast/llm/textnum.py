@@ -25,7 +25,7 @@ _POWERS = {}
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse."""
-    have = _POWERS.get("n", 0)
+    have = _POWERS.get("n", -1)
     if have < n:
         size = max(n, 1 << 16)
         for name, b in (("up", _BASE), ("down", _INV)):

@@ -93,6 +93,16 @@ def test_near_dedup(spark, texts):
     assert near_dedup.decisions(_empty(spark)).count() == 0
 
 
+def test_words_of_empty_slices(monkeypatch):
+    """A worker's first slice may hold no byte."""
+    import numpy as np
+
+    from spendcast.llm import textnum
+    monkeypatch.setattr(textnum, "_POWERS", {})
+    words = textnum.Words(np.zeros(0, np.uint8), np.zeros(3, np.int64))
+    assert list(words.count) == [0, 0] and len(words.hash) == 0 and len(textnum.grams(words.prefix(), 5)) == 0
+
+
 def test_exact_dedup(spark, texts):
     docs = _frame(spark, texts + [(7, texts[7][1])])  # a row twice
     strip = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
