@@ -1,9 +1,11 @@
 """Exact dedup behind a two-pass Bloom filter, with DataFrame functions only.
 
-Pass one counts hash slots (two per row) and keeps, as bitmaps, the slots that
-two rows or more have hit.  Pass two probes each row: a row both of whose slots
-are in the filter is possibly repeated and goes to the shuffle on its full
-SHA-256; all others are certainly unique and pass straight through.
+Pass one counts hash slots (two per row, both in the one block that the row's hash
+names) and keeps, as bitmaps, the slots that two rows or more have hit.  Pass two
+probes position and hash of each row, nothing else: a row both of whose slots are in
+the filter is possibly repeated, and the positions of such rows come back as bitmaps.
+Only those rows go to a shuffle, by id, length and full SHA-256; all others are
+certainly unique and pass straight through.  No text is shuffled at any size.
 """
 
 from __future__ import annotations
@@ -15,10 +17,11 @@ from .common import SPACES, pin
 
 #: Slots of the filter for each row; two hashes give about 1.4 % false hits.
 SLOTS_PER_ROW = 16
-#: The filter is broadcast while its exact size, known from the row count, is at
-#: most this; beyond, it is joined by its blocks like any other table.
+#: Bitmaps of positions are broadcast in slices of at most this size (one block at
+#: least), each to the rows of its range.  More rows make more slices, not larger ones.
 BROADCAST_BYTES = 32 << 20
-_BLOCK = 32768  # bits of a bitmap block
+_SHIFT = 15
+_BLOCK = 1 << _SHIFT  # bits of a bitmap block
 
 
 def normalised(text: Column) -> Column:
@@ -26,33 +29,57 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text.cast("string"), F.lit("")), SPACES, "")
 
 
-def _slots(h: Column, m: int) -> Column:
-    return F.array(F.pmod(h, F.lit(m)) + 1, F.pmod(F.xxhash64(h, F.lit("second")), F.lit(m)) + 1)
-
-
-def _filter(rows: DataFrame, m: int) -> DataFrame:
-    """Blocks of the slots that at least two rows hit."""
-    twice = (rows.select(F.explode(_slots(F.col("h"), m)).alias("slot"))
-             .groupBy("slot").count().where("count > 1"))
-    blocks = pin(twice.groupBy(F.bitmap_bucket_number("slot").alias("block"))
-                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")))
-    return F.broadcast(blocks) if m // 8 <= BROADCAST_BYTES else blocks
-
-
-def _probe(rows: DataFrame, blocks: DataFrame, m: int) -> DataFrame:
-    """Adds ``maybe``: both slots of the row are in the filter."""
-    out = rows.withColumn("_slots", _slots(F.col("h"), m))
-    for i in (0, 1):
-        out = out.withColumn("_slot", F.col("_slots")[i]).withColumn("block", F.bitmap_bucket_number("_slot"))
-        out = out.join(blocks, "block", "left").withColumn("_at", F.bitmap_bit_position("_slot"))
-        byte = F.expr("conv(hex(substring(bits, cast(_at div 8 as int) + 1, 1)), 16, 10)").cast("int")
-        hit = F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")) == 1, F.lit(False))
-        out = out.withColumn(f"_hit{i}", hit).drop("bits", "block", "_at", "_slot")
-    return out.withColumn("maybe", F.col("_hit0") & F.col("_hit1")).drop("_hit0", "_hit1", "_slots")
-
-
-def _slot_count(n: int) -> int:
-    return max(1, -(-n * SLOTS_PER_ROW // _BLOCK)) * _BLOCK
+def _blocks(bits: DataFrame) -> DataFrame:
+    """One bitmap for each ``block`` of the numbers in ``bit`` (0 to 32,767).  Rows meet
+    before they become bitmaps: at most one row per bit, and no bitmap per task."""
+    return pin(bits.repartition("block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")))
+
+
+def _is_set(bit: Column) -> Column:
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))
+
+
+def _possible(rows: DataFrame) -> DataFrame:
+    """Positions (``row``) of the rows that are possibly repeated, as bitmaps by block;
+    ``rows`` is a written table with ``row`` and the hash ``h``."""
+    rows = rows.select("row", "h")
+    n = max(1, -(-rows.count() * SLOTS_PER_ROW // _BLOCK))
+    rows = rows.select("row", F.pmod("h", F.lit(n)).alias("block"), *[
+        F.pmod(F.xxhash64("h", F.lit(name)), F.lit(_BLOCK)).alias(name) for name in ("first", "second")])
+    twice = (rows.select("block", F.explode(F.array("first", "second")).alias("bit"))
+             .groupBy("block", "bit").count().where("count > 1"))
+    hit = (rows.join(_blocks(twice.select("block", "bit")), "block")
+           .where(_is_set(F.col("first")) & _is_set(F.col("second"))))
+    return _positions(hit)
+
+
+def _positions(rows: DataFrame) -> DataFrame:
+    """Bitmaps of the positions ``row``."""
+    return _blocks(rows.select(F.shiftright("row", _SHIFT).alias("block"), (F.col("row") % _BLOCK).alias("bit")))
+
+
+def _marked(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """Adds ``marked``: the row's position is in ``marks``.  The bitmaps are broadcast by
+    ranges of positions, twice as many as their size asks for, so that approximate cuts
+    keep each within the bound; a scan of a range skips the other row groups."""
+    slices = -(-marks.count() // max(1, 8 * BROADCAST_BYTES // _BLOCK))
+    cuts = []
+    if slices > 1:
+        parts = 2 * slices
+        cuts = sorted(set(marks.agg(F.percentile_approx("block", [i / parts for i in range(1, parts)], 4 * parts)
+                                    .alias("cuts")).first().cuts))
+    out = None
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part, bits = rows, marks
+        if low is not None:
+            part, bits = part.where(F.col("row") >= low * _BLOCK), bits.where(F.col("block") >= low)
+        if high is not None:
+            part, bits = part.where(F.col("row") < high * _BLOCK), bits.where(F.col("block") < high)
+        part = (part.withColumn("block", F.shiftright("row", _SHIFT)).join(F.broadcast(bits), "block", "left")
+                .withColumn("marked", _is_set(F.col("row") % _BLOCK)).drop("block", "bits"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def _order() -> Column:
@@ -62,6 +89,10 @@ def _order() -> Column:
                     "doc_id")
 
 
+def _groups(maybe: DataFrame) -> DataFrame:
+    return pin(maybe.groupBy("text_sha256").agg(F.max(_order()).alias("best"), F.count(F.lit(1)).alias("group_size")))
+
+
 def decisions(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -73,32 +104,28 @@ def decisions(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.length(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("chars"),
         F.xxhash64(norm).alias("h"), F.sha2(norm, 256).alias("text_sha256"))
         .withColumn("row", F.monotonically_increasing_id()))
-    m = _slot_count(rows.count())
-    probed = pin(_probe(rows, _filter(rows.select("h"), m), m).drop("h"))
-    groups = pin(probed.where("maybe").groupBy("text_sha256").agg(
-        F.max(_order()).alias("best"), F.count(F.lit(1)).alias("group_size")))
-    repeated = (probed.where("maybe").join(groups, "text_sha256")
+    rows = _marked(rows, _possible(rows))
+    maybe = rows.where("marked")
+    repeated = (maybe.join(_groups(maybe), "text_sha256")
                 .select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
                         (F.col("best.neg_row") == -F.col("row")).alias("kept"), "text_sha256"))
-    alone = probed.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-                                             F.lit(True).alias("kept"), "text_sha256")
+    alone = rows.where("not marked").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+                                            F.lit(True).alias("kept"), "text_sha256")
     return alone.unionByName(repeated)
 
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
-    """The documents without later copies; columns as they came.  Unrepeated rows
-    are only filtered; possibly repeated ones meet by hash.  Null texts count as empty
-    and equal; of equal rows one stays, a null doc_id counts as larger than any; an
-    empty table gives an empty result."""
-    norm = normalised(F.col("text"))
-    hashes = pin(docs.select(F.xxhash64(norm).alias("h")))
-    m = _slot_count(hashes.count())
-    tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.xxhash64(norm).alias("h"))
-    probed = _probe(tagged, _filter(hashes, m), m)
-    text, doc_id = F.coalesce(F.col("_doc.text").cast("string"), F.lit("")), F.col("_doc.doc_id").cast("long")
-    maybe = pin(probed.where("maybe").select(
-        "_doc", F.sha2(normalised(F.col("_doc.text")), 256).alias("sha"), doc_id.alias("doc_id"), F.length(text).alias("chars"),
-        F.monotonically_increasing_id().alias("row")), "zstd")
-    best = pin(maybe.groupBy("sha").agg(F.max(_order()).alias("best")).select((-F.col("best.neg_row")).alias("row")))
-    kept = maybe.join(best, "row").select("_doc.*")
-    return probed.where("not maybe").select("_doc.*").unionByName(kept)
+    """The documents without later copies; columns as they came.  The rows are written
+    once with their positions and read back without the positions that lost; possibly
+    repeated ones meet by hash, without their texts.  Null texts count as empty and
+    equal; of equal rows one stays, a null doc_id counts as larger than any; an empty
+    table gives an empty result; further columns of any name come back as they were."""
+    rows = pin(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                           F.xxhash64(normalised(F.col("text"))).alias("h"))
+               .withColumn("row", F.monotonically_increasing_id()), "zstd")
+    text = F.coalesce(F.col("_doc.text").cast("string"), F.lit(""))
+    maybe = pin(_marked(rows, _possible(rows)).where("marked").select(
+        "row", F.sha2(normalised(text), 256).alias("text_sha256"), F.col("_doc.doc_id").cast("long").alias("doc_id"),
+        F.length(text).alias("chars")))
+    lost = maybe.join(_groups(maybe), "text_sha256").where(F.col("best.neg_row") != -F.col("row"))
+    return _marked(rows, _positions(lost)).where("not marked").select("_doc.*")

@@ -127,6 +127,23 @@ def test_exact_dedup_without_broadcast(spark, texts, monkeypatch):
     assert sum(r.kept for r in rows) == len({re.sub(r"\s", "", t or "") for _, t in texts})
 
 
+def test_exact_dedup_moves_no_text(spark, texts, monkeypatch):
+    """Beyond one broadcast the positions go out in slices; rows are neither shuffled nor sorted."""
+    monkeypatch.setattr(exact_dedup, "BROADCAST_BYTES", 4096)
+    docs = _frame(spark, texts)
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = exact_dedup.exact_dedup(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") >= 2 and "hashpartitioning" not in plan and "Sort" not in plan
+        rows = exact_dedup.decisions(docs).collect()
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in rows if r.kept)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert len(rows) == len(texts)
+
+
 def test_quality_rules_base(spark, texts):
     for r in quality_rules.judge(_frame(spark, texts)).collect():
         t = dict(texts)[r.doc_id] or ""
