@@ -96,9 +96,10 @@ def repeated_spans(docs: DataFrame, size: int = SIZE) -> DataFrame:
     pieces = pin(reps.join(cuts, ["run", "n"], "left").select("run", "owner", "body", "cuts")
                  .mapInArrow(_pieces(size), "run long, words int, x int, y int, owner long, piece binary")
                  .withColumn("n", (F.col("words") - (size - 1)).cast("long")))
-    owners = pieces.groupBy("piece").agg(F.min("owner").alias("source"))
-    parts = (pieces.join(owners, "piece").groupBy("run", "n")
-             .agg(F.collect_list(F.struct("x", "y", "source")).alias("parts")))
+    # pinned as well: a piece of very many runs, or a run of very many documents, is split
+    owners = pin(pieces.groupBy("piece").agg(F.min("owner").alias("source")))
+    parts = pin(pieces.join(owners, "piece").groupBy("run", "n")
+                .agg(F.collect_list(F.struct("x", "y", "source")).alias("parts")))
     spans = (runs.select("key", small.alias("doc"), "run", "s", "n").distinct().join(parts, ["run", "n"])
              .select("key", "doc", "s", F.explode("parts").alias("p")).where("p.source < doc")
              .select("key", F.struct((F.col("s") + F.col("p.x")).alias("lo"),
