@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spendcast.operators import features as fe
 from spendcast.operators import partials as pt
+from spendcast.operators import prepare as pr
 from spendcast.session import ensure_checkpoint_dir
 from spendcast.sources.transactions import fixture_transactions
 from tests.conftest import make_tx
@@ -100,3 +101,12 @@ def _tables_written(spark, action):
     out = action()
     sizes = [sum(os.path.getsize(os.path.join(folder, d, f)) for f in os.listdir(os.path.join(folder, d))) for d in set(os.listdir(folder)) - before]
     return out, sizes
+
+
+def test_medians_of_a_stored_table_write_no_wide_rows(spark, tmp_path):
+    spark.range(4000).select(*[(F.col("id") * (2 * i + 1) % 997 / 7).alias(f"x{i}") for i in range(30)]).write.parquet(str(tmp_path / "w"))
+    df, cols = spark.read.parquet(str(tmp_path / "w")), [f"x{i}" for i in range(30)]
+    want, wide = _tables_written(spark, lambda: pr.fit_medians(df, cols))
+    (_, _, got), few = _tables_written(spark, lambda: pr.impute_median(df, df, cols, stored=True))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert max(few) * 2 < max(wide)
