@@ -7,9 +7,12 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.sql import functions as F
 
+from spendcast.operators import evaluate as ev
 from spendcast.operators import features as fe
+from spendcast.operators import model as mo
 from spendcast.operators import partials as pt
 from spendcast.operators import prepare as pr
 from spendcast.session import ensure_checkpoint_dir
@@ -110,3 +113,63 @@ def test_medians_of_a_stored_table_write_no_wide_rows(spark, tmp_path):
     (_, _, got), few = _tables_written(spark, lambda: pr.impute_median(df, df, cols, stored=True))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert max(few) * 2 < max(wide)
+
+
+def _wide(spark, n=600):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, rng.randrange(400)]) if i % 9 == 0 else i, None if i % 50 == 0 else int(i % 3 == 0), rng.random(), rng.random()) for i in range(n)]
+    return spark.createDataFrame(rows, "customer_id long, label int, a double, b double")
+
+
+def test_folds_of_wide_rows_are_those_of_narrow_ones(spark):
+    """Repeated and null ids and null labels too: rows of an id take the same ranks, in any order."""
+    df = _wide(spark)
+    got, sizes = _tables_written(spark, lambda: ev.stratified_folds(df, k=4))
+    assert got.columns == [*df.columns, "fold"]
+    count = lambda d: sorted((str(r.customer_id), str(r.label), str(r.fold)) for r in d.collect())
+    assert count(got) == count(ev.stratified_folds(df.select("customer_id", "label"), k=4))
+    assert sorted(map(str, got.drop("fold").collect())) == sorted(map(str, df.collect()))
+    ids = _tables_written(spark, lambda: ev.stratified_folds(df.withColumns({f"c{i}": F.rand(i) for i in range(50)}), k=4))[1]
+    assert max(ids) < 1.5 * max(sizes)  # what the scan writes does not grow with the columns
+    wide = [line for line in PLAN(got).splitlines() if "Exchange" in line and "hashpartitioning(_key" in line]
+    assert len(wide) == 2  # the rows once, the ranks once
+
+
+def test_test_rows_are_read_once_by_all_models(spark, monkeypatch):
+    df = _wide(spark).where("customer_id is not null and label is not null").dropDuplicates(["customer_id"])
+    seen = []
+    monkeypatch.setattr(mo, "fold_mean", lambda preds, key: (seen.append(preds), ev.fold_mean(preds, key))[1])
+    est = LogisticRegression(maxIter=3)
+    oof, mean, _ = mo.oof_predict(df, df.where("customer_id < 100"), ["a", "b"], est, k=3)
+    assert PLAN(seen[0]).count("Scan") == 1 and oof.count() == df.count()
+    folded = ev.stratified_folds(df, "label", 3, 42)
+    models = [mo._pipeline(["a", "b"], est).fit(folded.where(F.col("fold") != i)) for i in range(3)]
+    want = {}
+    for m in models:
+        for r in mo._score(m, df.where("customer_id < 100"), ["customer_id"]).collect():
+            want.setdefault(r.customer_id, []).append(r.probability)
+    got = {r.customer_id: r.probability for r in mean.collect()}
+    assert got == pytest.approx({k: sum(v) / 3 for k, v in want.items()}, rel=1e-6)
+
+
+def test_fits_at_once_shrink_with_the_rows(spark, monkeypatch):
+    df = _wide(spark).where("customer_id is not null and label is not null")
+    workers = []
+    pool = mo.ThreadPoolExecutor
+    monkeypatch.setattr(mo, "ThreadPoolExecutor", lambda max_workers: (workers.append(max_workers), pool(max_workers))[1])
+    for most in (1, 3 * 2 * df.count(), 10 ** 9):
+        monkeypatch.setattr(mo, "FIT_VALUES", most)
+        mo.oof_predict(df, df, ["a", "b"], LogisticRegression(maxIter=1), k=4)
+    assert workers == [1, 3, 4]
+
+
+def test_rows_are_assembled_once_for_all_folds(spark, monkeypatch):
+    """The folds' table holds the vector and no feature columns; weights and the like stay."""
+    df = _wide(spark).where("customer_id is not null and label is not null").withColumn("w", F.lit(2.0))
+    stored = []
+    write = mo.materialize
+    monkeypatch.setattr(mo, "materialize", lambda d: (stored.append(d.columns), write(d))[1])
+    oof, _, fi = mo.oof_predict(df, df, ["a", "b"], NaiveBayes(modelType="gaussian", weightCol="w"), k=3)
+    assert stored == [["customer_id", "label", "w", "fold", "features"]]
+    assert oof.columns == ["customer_id", "fold", "label", "probability"] and oof.count() == df.count()
+    assert {(r.feature, r.fold) for r in fi.collect()} == {(f, i) for f in "ab" for i in range(3)}
